@@ -24,7 +24,7 @@ from millwright.operators.stats import exact_quantile
 from millwright.schemas import SENSORS
 from millwright.session import checkpoint
 
-_NODES = "tree int, node int, feature int, split double, low int, high int, path double"
+_NODES = "tree int, node int, feature int, split double, low int, high int, depth int, size int"
 
 
 @dataclass(frozen=True)
@@ -58,13 +58,12 @@ def scaled(readings: DataFrame, scaler: dict[str, tuple[float, float]]) -> DataF
     return readings.withColumns({s: (F.col(s) - F.lit(m)) / F.lit(d) for s, (m, d) in scaler.items()})
 
 
-def expected_path(n: float) -> float:
+def expected_path(n: np.ndarray) -> np.ndarray:
     """Mean path length of an unsuccessful search among ``n`` points."""
-    if n <= 1:
-        return 0.0
-    if n == 2:
-        return 1.0
-    return 2.0 * (math.log(n - 1.0) + np.euler_gamma) - 2.0 * (n - 1.0) / n
+    n = np.asarray(n, float)
+    beyond = np.maximum(n - 1.0, 1.0)
+    long = 2.0 * (np.log(beyond) + np.euler_gamma) - 2.0 * beyond / np.maximum(n, 1.0)
+    return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
 def _tree_samples(valid: DataFrame, trees: int, size: int, rows: int, seed: int) -> DataFrame:
@@ -97,16 +96,16 @@ def _grower(size: int, seed: int):
                 nodes[parent][4 + side] = number
             spread = np.ptp(x[rows], axis=0) > 0 if len(rows) > 1 else np.zeros(len(columns), bool)
             if depth >= limit or not spread.any():
-                nodes.append([tree, number, -1, 0.0, -1, -1, depth + expected_path(len(rows))])
+                nodes.append([tree, number, -1, 0.0, -1, -1, depth, len(rows)])
                 continue
             feature = int(rng.choice(np.flatnonzero(spread)))
             values = x[rows, feature]
             split = float(rng.uniform(values.min(), values.max()))
-            nodes.append([tree, number, feature, split, -1, -1, 0.0])
+            nodes.append([tree, number, feature, split, -1, -1, depth, len(rows)])
             below = values <= split
             pending.append((rows[~below], depth + 1, number, 1))
             pending.append((rows[below], depth + 1, number, 0))
-        return pd.DataFrame(nodes, columns=["tree", "node", "feature", "split", "low", "high", "path"])
+        return pd.DataFrame(nodes, columns=["tree", "node", "feature", "split", "low", "high", "depth", "size"])
 
     return grow
 
@@ -129,6 +128,7 @@ def fit(readings: DataFrame, cfg: Config = DEFAULT, id_col: str = "telemetry_id"
 
 def _padded(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
     trees, width = int(nodes["tree"].max()) + 1, int(nodes["node"].max()) + 1
+    nodes = nodes.assign(path=nodes["depth"] + expected_path(nodes["size"].to_numpy()))
     out = {}
     for name, kind in (("feature", np.int8), ("split", float), ("low", np.int32), ("high", np.int32), ("path", float)):
         grid = np.zeros((trees, width), kind)
@@ -141,7 +141,7 @@ def with_raw_score(readings: DataFrame, forest: Forest) -> DataFrame:
     """Add ``_raw``: minus two to the power of minus the normalised mean path; 0 if a sensor is missing."""
     grids = readings.sparkSession.sparkContext.broadcast(_padded(forest.nodes.toPandas()))
     depth = math.ceil(math.log2(max(forest.sample_size, 2)))
-    norm = expected_path(forest.sample_size) or 1.0
+    norm = float(expected_path(forest.sample_size)) or 1.0
 
     @F.pandas_udf("double")
     def raw(parts: Iterator[tuple[pd.Series, ...]]) -> Iterator[pd.Series]:

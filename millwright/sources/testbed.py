@@ -7,11 +7,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millwright.operators.sizing import dimension
+from millwright.operators.sizing import DIMENSION_ROWS
 from millwright.session import use_utc
 from millwright.sources.readers import Tables
 
@@ -162,27 +163,53 @@ FROM (
 ) b"""
 
 
-def load(spark: SparkSession, sf_dir: str, long: bool = False) -> Tables:
-    """The five plant tables over the benchmark tables in ``sf_dir``."""
-    use_utc(spark)
-    raw = {t: spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in
-           ("region", "nation", "supplier", "part", "orders", "events")}
-    # Zone-less microsecond timestamps are UTC instants.
-    raw["orders"] = raw["orders"].withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
-    raw["events"] = raw["events"].withColumn("ts", F.col("ts").cast("timestamp"))
-    n_machines, n_parts = raw["supplier"].count(), raw["part"].count()
-
-    def run(sql: str, **views: DataFrame) -> DataFrame:
-        return spark.sql(sql, **views)
-
-    plants = run(plants_sql("{region}"), region=raw["region"])
-    machines = run(machines_sql("{supplier}", "{nation}", SPARK), supplier=raw["supplier"], nation=raw["nation"])
-    work_orders = run(
-        work_orders_sql("{orders}", "{machines}", "{part}", n_machines, n_parts, SPARK, long),
-        orders=raw["orders"], machines=dimension(machines), part=dimension(raw["part"]),
-    )
-    telemetry = run(telemetry_sql("{events}", n_machines, SPARK), events=raw["events"])
-    inspections = run(
-        inspections_sql("{work_orders}", "{orders}", SPARK), work_orders=work_orders, orders=raw["orders"]
-    )
-    return Tables(plants, machines, work_orders, telemetry, inspections)
+class Testbed:
+    """The five plant tables over the benchmark tables in ``sf_dir``; only what is asked for is planned."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, long: bool = False):
+        self.spark, self.sf_dir, self.long = use_utc(spark), sf_dir, long
+
+    def raw(self, name: str) -> DataFrame:
+        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+
+    @cached_property
+    def _n_machines(self) -> int:
+        return self.raw("supplier").count()
+
+    @cached_property
+    def _orders(self) -> DataFrame:
+        # Zone-less microsecond timestamps are UTC instants.
+        return self.raw("orders").withColumn("o_orderdate", F.col("o_orderdate").cast("timestamp"))
+
+    @cached_property
+    def plants(self) -> DataFrame:
+        return self.spark.sql(plants_sql("{region}"), region=self.raw("region"))
+
+    @cached_property
+    def machines(self) -> DataFrame:
+        sql = machines_sql("{supplier}", "{nation}", SPARK)
+        return self.spark.sql(sql, supplier=self.raw("supplier"), nation=self.raw("nation"))
+
+    @cached_property
+    def work_orders(self) -> DataFrame:
+        part = self.raw("part")
+        n_parts = part.count()
+        sql = work_orders_sql("{orders}", "{machines}", "{part}", self._n_machines, n_parts, SPARK, self.long)
+        small_machines = F.broadcast(self.machines) if self._n_machines <= DIMENSION_ROWS else self.machines
+        small_part = F.broadcast(part) if n_parts <= DIMENSION_ROWS else part
+        return self.spark.sql(sql, orders=self._orders, machines=small_machines, part=small_part)
+
+    @cached_property
+    def machine_telemetry(self) -> DataFrame:
+        events = self.raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
+        return self.spark.sql(telemetry_sql("{events}", self._n_machines, SPARK), events=events)
+
+    @cached_property
+    def quality_inspections(self) -> DataFrame:
+        sql = inspections_sql("{work_orders}", "{orders}", SPARK)
+        return self.spark.sql(sql, work_orders=self.work_orders, orders=self._orders)
+
+    def tables(self) -> Tables:
+        return Tables(
+            self.plants, self.machines, self.work_orders, self.machine_telemetry, self.quality_inspections
+        )
