@@ -63,7 +63,9 @@ _PARTS: dict[str, tuple[str, tuple[str, ...]]] = {
     "wo": (tb.work_orders_sql("orders", "machines", "part", _N_MACHINES, _N_PARTS, _D), ("machines",)),
     "wol": (tb.work_orders_sql("orders", "machines", "part", _N_MACHINES, _N_PARTS, _D, True), ("machines",)),
     "tel": (tb.telemetry_sql("events", _N_MACHINES, _D), ()),
-    "insp": (tb.inspections_sql("wo", "orders", _D), ("wo",)),
+    "woc": (
+        tb.work_orders_sql("orders", "machines", "part", _N_MACHINES, _N_PARTS, _D, with_cents=True), ("machines",)),
+    "insp": (tb.inspections_sql("woc", _D), ("woc",)),
     "anomalies": (
         "SELECT plant_id, CAST(recorded_at AS DATE) AS day, CAST(sum(CAST(anomaly_flag AS INT)) AS BIGINT) "
         "AS anomaly_count FROM tel JOIN machines USING (machine_id) GROUP BY ALL", ("tel", "machines")),
@@ -296,8 +298,8 @@ _add("validate_work_orders", _UNION.join(_ORDER_ROWS), "wo")
 _add("validate_telemetry", _UNION.join(_TEL_ROWS), "tel")
 _add("validate_inspections", _UNION.join(_INSP_ROWS), "insp")
 _add("validate_business", _UNION.join(_RULE_ROWS), "wo")
-_add("validate_references", _UNION.join(_REF_ROWS), "insp")
-_add("validate_orphans", f"SELECT * FROM {_ORPHANS}", "insp")
+_add("validate_references", _UNION.join(_REF_ROWS), "insp", "wo")
+_add("validate_orphans", f"SELECT * FROM {_ORPHANS}", "insp", "wo")
 _ALL_ROWS = _UNION.join(_ORDER_ROWS + _RULE_ROWS + _TEL_ROWS + _INSP_ROWS + _REF_ROWS)
 _add("validate_report", _ALL_ROWS, "wo", "tel", "insp")
 _add("validate_level_counts", f"""

@@ -60,9 +60,13 @@ FROM {supplier} JOIN {nation} ON s_nationkey = n_nationkey"""
 
 
 def work_orders_sql(
-    orders: str, machines: str, part: str, n_machines: str | int, n_parts: str | int, d: Dialect, long: bool = False
+    orders: str, machines: str, part: str, n_machines: str | int, n_parts: str | int, d: Dialect, long: bool = False,
+    with_cents: bool = False,
 ) -> str:
-    """``long=False``: orders in January 2024, over the sensor readings; ``long=True``: 80 months from 1995."""
+    """``long=False``: orders in January 2024, over the sensor readings; ``long=True``: 80 months from 1995.
+
+    ``with_cents`` also returns the order's price in cents, from which inspections are derived.
+    """
 
     def pick(q: int, m: int | str) -> str:
         return f"({d.div('x', q)} % {m})"
@@ -96,7 +100,7 @@ SELECT CAST(o_orderkey AS BIGINT) AS work_order_id, CAST(mkey AS INT) AS machine
        CAST({defects} AS INT) AS defect_count, CAST({downtime} AS INT) AS downtime_minutes,
        CAST(NULL AS INT) AS operator_id, CAST(NULL AS {d.text}) AS failure_mode,
        risk_score, CAST(CASE WHEN risk_score >= 65e-2 THEN 1 WHEN risk_score IS NULL THEN NULL ELSE 0 END
-                        AS SMALLINT) AS risk_label
+                        AS SMALLINT) AS risk_label{', x' if with_cents else ''}
 FROM (
   SELECT *, {d.add_minutes('scheduled_start', 'dur')} AS scheduled_end,
          {d.add_minutes('scheduled_start', wait)} AS actual_start,
@@ -113,7 +117,7 @@ FROM (
              CASE WHEN x % 97 <> 0 THEN CAST({pick(43, 10001)} AS DOUBLE) / 1e4 END AS risk_score
       FROM (
         SELECT o_orderkey, o_orderpriority, CAST(o_orderdate AS TIMESTAMP) AS odate,
-               CAST(round(o_totalprice * 100) AS BIGINT) AS x, o_orderkey % {n_machines} AS mkey
+               CAST(floor(o_totalprice * 100 + 5e-1) AS BIGINT) AS x, o_orderkey % {n_machines} AS mkey
         FROM {orders}
       ) a
     ) b
@@ -135,13 +139,14 @@ SELECT CAST(event_id AS BIGINT) AS telemetry_id, CAST(user_id % {n_machines} AS
        event_type = 'error' AS anomaly_flag, CAST(NULL AS DOUBLE) AS anomaly_score
 FROM (
   SELECT event_id, user_id, event_type, CAST(ts AS TIMESTAMP) AS recorded_at,
-         CAST(round(value * 100) AS BIGINT) AS cents,
+         CAST(floor(value * 100 + 5e-1) AS BIGINT) AS cents,
          CAST(regexp_extract(props, '"k": *([0-9]+)', 1) AS BIGINT) AS k
   FROM {events}
 ) e"""
 
 
-def inspections_sql(work_orders: str, orders: str, d: Dialect) -> str:
+def inspections_sql(orders_with_cents: str, d: Dialect) -> str:
+    """Orders that ended and made units: here these are exactly the ones not cancelled, known from ``x`` alone."""
     return f"""
 SELECT work_order_id AS inspection_id,
        CASE WHEN x % 211 = 0 THEN work_order_id + 1000000000 ELSE work_order_id END AS work_order_id,
@@ -154,11 +159,9 @@ SELECT work_order_id AS inspection_id,
 FROM (
   SELECT *, least({d.div('ui * defect_count', 'actual_units')}, ui) AS uf
   FROM (
-    SELECT w.*, o.x, actual_units - ({d.div('o.x', 47)} % ({d.div('actual_units', 4)} + 1)) AS ui
-    FROM {work_orders} w
-    JOIN (SELECT o_orderkey, CAST(round(o_totalprice * 100) AS BIGINT) AS x FROM {orders}) o
-      ON w.work_order_id = o.o_orderkey
-    WHERE status <> 'cancelled' AND actual_end IS NOT NULL AND actual_units > 0
+    SELECT w.*, actual_units - ({d.div('x', 47)} % ({d.div('actual_units', 4)} + 1)) AS ui
+    FROM {orders_with_cents} w
+    WHERE x % 100 NOT BETWEEN 33 AND 34
   ) a
 ) b"""
 
@@ -190,15 +193,20 @@ class Testbed:
         sql = machines_sql("{supplier}", "{nation}", SPARK)
         return self.spark.sql(sql, supplier=self.raw("supplier"), nation=self.raw("nation"))
 
-    @cached_property
-    def work_orders(self) -> DataFrame:
+    def _derived_orders(self, with_cents: bool = False) -> DataFrame:
         part = self.raw("part")
         n_parts = part.count()
-        sql = work_orders_sql("{orders}", "{machines}", "{part}", self._n_machines, n_parts, SPARK, self.long)
+        sql = work_orders_sql(
+            "{orders}", "{machines}", "{part}", self._n_machines, n_parts, SPARK, self.long, with_cents
+        )
         small_machines = F.broadcast(self.machines) if self._n_machines <= DIMENSION_ROWS else self.machines
         small_part = F.broadcast(part) if n_parts <= DIMENSION_ROWS else part
         return self.spark.sql(sql, orders=self._orders, machines=small_machines, part=small_part)
 
+    @cached_property
+    def work_orders(self) -> DataFrame:
+        return self._derived_orders()
+
     @cached_property
     def machine_telemetry(self) -> DataFrame:
         events = self.raw("events").withColumn("ts", F.col("ts").cast("timestamp"))
@@ -206,8 +214,7 @@ class Testbed:
 
     @cached_property
     def quality_inspections(self) -> DataFrame:
-        sql = inspections_sql("{work_orders}", "{orders}", SPARK)
-        return self.spark.sql(sql, work_orders=self.work_orders, orders=self._orders)
+        return self.spark.sql(inspections_sql("{orders}", SPARK), orders=self._derived_orders(with_cents=True))
 
     def tables(self) -> Tables:
         return Tables(
