@@ -529,10 +529,13 @@ SELECT count(*) AS products, max(cum_pct) AS top_pct, first(product_type ORDER B
 _add("sla_by_month", f"""
 SELECT strftime(snapshot_date, '%Y-%m') AS month, plant_name, {_mean('sla_breach_rate', 4)} AS sla_breach_rate
 FROM kpiln GROUP BY ALL""", "kpiln")
+# The orders span January 1995 to August 2001 at every scale.
+_MONTHS = [f"{n // 12}-{n % 12 + 1:02d}" for n in range(1995 * 12, 2001 * 12 + 8)]
 _add("sla_heatmap", "SELECT plant_name, " + ", ".join(
-    _mean(f"CASE WHEN strftime(snapshot_date, '%Y-%m') = '{m}' THEN sla_breach_rate END", 4) + f' AS "{m}"'
-    for m in ("1995-01", "1996-06", "1998-12", "2001-07")
-) + " FROM kpiln GROUP BY plant_name", "kpiln")
+    f"max(CASE WHEN month = '{m}' THEN rate END) AS \"{m}\"" for m in _MONTHS
+) + f"""
+FROM (SELECT strftime(snapshot_date, '%Y-%m') AS month, plant_name, {_mean('sla_breach_rate', 4)} AS rate
+      FROM kpiln GROUP BY ALL) GROUP BY plant_name""", "kpiln")
 
 # Inspections, sensors
 

@@ -14,7 +14,7 @@ from millwright.ml import anomaly, importance, metrics, risk, split
 from millwright.operators.sampling import hash_sample
 from millwright.plans import features, inspections, kpis, validation, views
 from millwright.plans.reports import common, equipment, executive, quality, risk as risk_page, scorecard
-from millwright.session import checkpoint
+from millwright.session import materialize
 from millwright.sources.load import write_back
 from millwright.sources.testbed import Testbed
 
@@ -422,12 +422,9 @@ def sla_by_month(t: Testbed) -> DataFrame:
     return quality.sla_by_month(named_snapshots(t))
 
 
-_HEATMAP_MONTHS = ("1995-01", "1996-06", "1998-12", "2001-07")
-
-
 @long_query
 def sla_heatmap(t: Testbed) -> DataFrame:
-    return quality.sla_heatmap(named_snapshots(t), _HEATMAP_MONTHS)
+    return quality.sla_heatmap(named_snapshots(t))
 
 
 # Inspections, sensors
@@ -597,6 +594,6 @@ def risk_model_metrics(t: Testbed) -> DataFrame:
 
 @query
 def feature_importance(t: Testbed) -> DataFrame:
-    matrix = checkpoint(_matrix(t))
+    matrix = materialize(_matrix(t))
     models = risk.fit(risk.vectorize(matrix), _SMALL)
     return importance.permutation_importance(matrix, models, _SMALL)

@@ -22,7 +22,7 @@ from millwright.functions import half_even
 from millwright.operators.sampling import hash_sample
 from millwright.operators.stats import exact_quantile
 from millwright.schemas import SENSORS
-from millwright.session import checkpoint
+from millwright.session import materialize
 
 _NODES = "tree int, node int, feature int, split double, low int, high int, depth int, size int"
 
@@ -123,7 +123,7 @@ def fit(readings: DataFrame, cfg: Config = DEFAULT, id_col: str = "telemetry_id"
     size = min(conf.max_samples, rows)
     samples = _tree_samples(scaled(valid, scaler), conf.n_estimators, size, rows, conf.random_state)
     nodes = samples.groupBy("tree").applyInPandas(_grower(size, conf.random_state), _NODES)
-    return Forest(checkpoint(nodes), scaler, size)
+    return Forest(materialize(nodes), scaler, size)
 
 
 def _padded(nodes: pd.DataFrame) -> dict[str, np.ndarray]:
@@ -175,7 +175,7 @@ def score(readings: DataFrame, forest: Forest, cfg: Config = DEFAULT, mode: str
     scored = with_raw_score(readings, forest)
     cut = cfg.kpis.anomaly_score_threshold
     if mode == "contamination":
-        scored = checkpoint(scored)
+        scored = materialize(scored)
         cut = exact_quantile(scored, "_raw", cfg.models.anomaly.contamination, "cut").first()["cut"]
     elif mode != "threshold":
         raise ValueError(f"unknown mode {mode!r}")

@@ -13,7 +13,7 @@ from pyspark.sql.window import Window
 
 from millwright.operators.ordering import running_sums
 from millwright.operators.sizing import SINGLE_TASK_ROWS
-from millwright.session import checkpoint
+from millwright.session import materialize
 
 
 def score_curve(
@@ -30,7 +30,7 @@ def score_curve(
     if by:
         w = Window.partitionBy(*by).orderBy(F.col("score").desc()).rowsBetween(Window.unboundedPreceding, 0)
         return groups.withColumns({"tp": F.sum("pos").over(w), "fp": F.sum("neg").over(w)})
-    return running_sums(checkpoint(groups), [F.col("score").desc()], {"tp": "pos", "fp": "neg"}, max_rows)
+    return running_sums(materialize(groups), [F.col("score").desc()], {"tp": "pos", "fp": "neg"}, max_rows)
 
 
 def _auc() -> Column:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window, WindowSpec
 
 from millwright.operators.sizing import GROUP_ROWS, SINGLE_TASK_ROWS, fits, largest_group
-from millwright.session import checkpoint
+from millwright.session import materialize
 
 _ROW_BITS = 33  # monotonically_increasing_id keeps the row position in the low 33 bits
 _BEFORE = (Window.unboundedPreceding, -1)
@@ -25,9 +25,9 @@ _UP_TO = (Window.unboundedPreceding, 0)
 def _sorted_parts(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     """Sort globally and pin every row's (partition, position).
 
-    The checkpoint makes the pair stable: a recomputed range sort could cut the partitions elsewhere.
+    Storing the rows makes the pair stable: a recomputed range sort could cut the partitions elsewhere.
     """
-    ranked = checkpoint(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()))
+    ranked = materialize(df.orderBy(*order).withColumn("_pos", F.monotonically_increasing_id()))
     return ranked.withColumn("_part", F.shiftright("_pos", _ROW_BITS))
 
 

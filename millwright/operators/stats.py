@@ -8,7 +8,7 @@ from pyspark.sql.window import Window
 
 from millwright.operators.ordering import running_sums
 from millwright.operators.sizing import SINGLE_TASK_ROWS
-from millwright.session import checkpoint
+from millwright.session import materialize
 
 
 def exact_quantile(
@@ -20,7 +20,7 @@ def exact_quantile(
     distinct values is distributed when there are many of them.
     """
     values = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).cast("double").alias("_v"))
-    values = checkpoint(values.agg(F.count(F.lit(1)).alias("_n")))
+    values = materialize(values.agg(F.count(F.lit(1)).alias("_n")))
     total = values.agg(F.sum("_n")).first()[0] or 0
     place = q * max(total - 1, 0)
     low = int(place)
@@ -38,7 +38,7 @@ def pareto(df: DataFrame, key: str, measure: str, max_rows: int = SINGLE_TASK_RO
     Sums are taken on the integer measure, so shares do not depend on merge order.
     """
     grouped = df.filter(F.col(key).isNotNull()).groupBy(key).agg(F.sum(measure).cast("long").alias("total"))
-    grouped = checkpoint(grouped)  # read three times below, computed once
+    grouped = materialize(grouped)  # read three times below, computed once
     grand = grouped.agg(F.sum("total")).first()[0] or 1
     ranked = running_sums(
         grouped.withColumn("_one", F.lit(1).cast("long")),

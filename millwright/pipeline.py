@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from millwright.config import DEFAULT, Config
 from millwright.ml import anomaly, risk
 from millwright.plans import features, kpis, validation, views
-from millwright.session import checkpoint
+from millwright.session import materialize
 from millwright.sources.load import load_csvs, write_back
 from millwright.sources.readers import read_parquet, read_tables
 from millwright.sources.writers import write_csv, write_metrics, write_parquet, write_snapshots
@@ -55,7 +55,7 @@ class Pipeline:
         anomaly.fit(self._tables().machine_telemetry, self.cfg).save(self._at("models", "anomaly"))
         trained = risk.train(read_parquet(self.spark, self._at("features")), self.cfg)
         trained.models.save(self._at("models", "risk"))
-        metrics = checkpoint(trained.metrics)
+        metrics = materialize(trained.metrics)
         write_metrics(metrics, self._at("reports", "model_metrics"))
         return metrics
 

@@ -11,7 +11,7 @@ from millwright.functions.temporal import MICROS_PER_DAY, MICROS_PER_HOUR, micro
 from millwright.operators.lookback import lookback_mean
 from millwright.operators.ordering import LastBefore, RollingRows, RowNumber, over_key_order, running_sums
 from millwright.operators.sizing import GROUP_ROWS, dimension
-from millwright.session import checkpoint
+from millwright.session import materialize
 
 # Feature names and order, target name, priority codes.
 FEATURES = (
@@ -47,7 +47,7 @@ def _start_order() -> list[Column]:
 
 def category_codes(df: DataFrame, column: str) -> DataFrame:
     """Alphabetical code from 0 for each distinct non-null value."""
-    values = checkpoint(df.filter(F.col(column).isNotNull()).select(column).distinct())
+    values = materialize(df.filter(F.col(column).isNotNull()).select(column).distinct())  # read more than once below
     ranked = running_sums(values.withColumn("_one", F.lit(1)), [F.col(column).asc()], {"_rank": "_one"})
     return ranked.select(column, (F.col("_rank") - 1).cast("int").alias(f"{column}_encoded"))
 
@@ -265,7 +265,7 @@ def feature_matrix(
     Two ordered passes in all, one by machine and one by plant, then one equi-join for the sensor means.
     """
     df = orders.select(*[c for c in _ORDER_COLUMNS if c in orders.columns])
-    df = df.join(dimension(machines.select("machine_id", "install_date", "machine_type")), "machine_id", "left")
+    df = df.join(dimension(machines, "machine_id", "install_date", "machine_type"), "machine_id", "left")
     df = _schedule_columns(static_features(df))
     df = machine_history_features(df, cfg, max_group_rows)
     df = over_key_order(

@@ -24,7 +24,7 @@ def daily_anomalies(telemetry: DataFrame, machines: DataFrame) -> DataFrame:
         .groupBy("machine_id", "day")
         .agg(F.coalesce(F.sum("f"), F.lit(0)).alias("f"))
     )
-    located = per_machine.join(dimension(machines.select("machine_id", "plant_id")), "machine_id")
+    located = per_machine.join(dimension(machines, "machine_id", "plant_id"), "machine_id")
     return located.groupBy("plant_id", "day").agg(F.sum("f").alias("anomaly_count"))
 
 
@@ -41,7 +41,7 @@ def daily_snapshots(
     Orders of unknown machines and rows without plant or day are left out.
     """
     orders = parse_timestamps(work_orders, "scheduled_start", "scheduled_end")
-    orders = orders.join(dimension(machines.select("machine_id")), "machine_id", "left_semi")
+    orders = orders.join(dimension(machines, "machine_id"), "machine_id", "left_semi")
     downtime = to_double("downtime_minutes", 0).alias("downtime")
     duration = micros("scheduled_end") - micros("scheduled_start")
     rows = orders.select(

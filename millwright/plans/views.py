@@ -12,23 +12,23 @@ from millwright.sources.writers import write_parquet
 
 
 def with_plant_name(kpis: DataFrame, plants: DataFrame) -> DataFrame:
-    return kpis.join(dimension(plants.select("plant_id", "plant_name")), "plant_id")
+    return kpis.join(dimension(plants, "plant_id", "plant_name"), "plant_id")
 
 
 def orders_located(work_orders: DataFrame, plants: DataFrame, machines: DataFrame) -> DataFrame:
     """Orders with plant name, machine code and machine type; orders of unknown plants or machines drop out."""
     located = with_plant_name(work_orders, plants)
-    return located.join(dimension(machines.select("machine_id", "machine_code", "machine_type")), "machine_id")
+    return located.join(dimension(machines, "machine_id", "machine_code", "machine_type"), "machine_id")
 
 
 def readings_located(telemetry: DataFrame, plants: DataFrame, machines: DataFrame) -> DataFrame:
     """Sensor readings with plant name and machine code."""
-    by_machine = telemetry.join(dimension(machines.select("machine_id", "machine_code", "plant_id")), "machine_id")
+    by_machine = telemetry.join(dimension(machines, "machine_id", "machine_code", "plant_id"), "machine_id")
     return with_plant_name(by_machine, plants)
 
 
 def mv_daily_oee(kpis: DataFrame, plants: DataFrame) -> DataFrame:
-    joined = kpis.join(dimension(plants.select("plant_id", "plant_code", "plant_name")), "plant_id")
+    joined = kpis.join(dimension(plants, "plant_id", "plant_code", "plant_name"), "plant_id")
     measures = [c for c in KPI_SNAPSHOTS.names if c not in ("snapshot_date", "plant_id")]
     return joined.select(F.col("snapshot_date").alias("day"), "plant_code", "plant_name", *measures)
 
@@ -57,8 +57,8 @@ def mv_plant_summary(kpis: DataFrame, plants: DataFrame) -> DataFrame:
         F.sum("anomaly_count").alias("total_anomalies"),
         F.sum("throughput_units").alias("total_throughput"),
     )
-    names = plants.select("plant_id", "plant_code", "plant_name")
-    return per_plant.join(dimension(names), "plant_id").select(
+    names = dimension(plants, "plant_id", "plant_code", "plant_name")
+    return per_plant.join(names, "plant_id").select(
         "plant_id", "plant_code", "plant_name", *[c for c in per_plant.columns if c != "plant_id"]
     )
 

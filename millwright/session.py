@@ -1,8 +1,9 @@
-"""Session defaults and the checkpoint folder."""
+"""Session defaults and tables in the checkpoint folder."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,7 +14,6 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
-    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
@@ -33,20 +33,28 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _ensure_checkpoint_dir(spark: SparkSession) -> None:
+def ensure_checkpoint_dir(spark: SparkSession) -> str:
+    """The folder all executors share: the cluster's own setting, or a temporary one in local runs."""
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is not None:
-        return
+    current = sc.getCheckpointDir()
+    if current is not None:
+        return current
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        sc.setCheckpointDir(configured)
-    elif sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="millwright-ckpt-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-
-
-def checkpoint(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: the rows survive the loss of any executor."""
-    _ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    if configured is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
+        configured = tempfile.mkdtemp(prefix="millwright-")
+    sc.setCheckpointDir(configured)
+    return sc.getCheckpointDir()
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Write the rows once to a table in the checkpoint folder and read them back.
+
+    Cuts the lineage like a checkpoint and survives the loss of any executor, but the rows are computed only
+    once, and later steps read just the columns they use. The table lives in this run's checkpoint folder.
+    """
+    spark = df.sparkSession
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

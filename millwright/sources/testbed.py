@@ -171,9 +171,12 @@ class Testbed:
 
     def __init__(self, spark: SparkSession, sf_dir: str, long: bool = False):
         self.spark, self.sf_dir, self.long = use_utc(spark), sf_dir, long
+        self._raw: dict[str, DataFrame] = {}
 
     def raw(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        if name not in self._raw:
+            self._raw[name] = self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
+        return self._raw[name]
 
     @cached_property
     def _n_machines(self) -> int:
