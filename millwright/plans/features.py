@@ -10,7 +10,7 @@ from millwright.functions import at_or_before_zero, clip, half_even, hours_betwe
 from millwright.functions.temporal import MICROS_PER_DAY, MICROS_PER_HOUR, micros
 from millwright.operators.lookback import lookback_mean
 from millwright.operators.ordering import LastBefore, RollingRows, RowNumber, over_key_order, running_sums
-from millwright.operators.sizing import GROUP_ROWS, dimension
+from millwright.operators.sizing import GROUP_ROWS, dimension, row_count
 from millwright.session import materialize
 
 # Feature names and order, target name, priority codes.
@@ -206,16 +206,13 @@ def aggregate_telemetry(
     )
     limit = F.avg("power_kw") + 2 * F.stddev_samp("power_kw")
     spiky = df.groupBy(*group).agg(F.max("power_kw").alias("_top"), limit.alias("_limit")).filter("_top > _limit")
-    spiky_groups = spiky.count()
-    if spiky_groups == 0:
+    if row_count(spiky) == 0:
         out = base.withColumn("pwr_spike_count", F.lit(0).cast("long"))
     else:
-        limits = spiky.select(*group, "_limit")
-        readings = df.select(*group, "power_kw").join(dimension(limits), group)
+        readings = df.select(*group, "power_kw").join(dimension(spiky, *group, "_limit"), group)
         spikes = readings.filter("power_kw > _limit").groupBy(*group).agg(F.count(F.lit(1)).alias("pwr_spike_count"))
         out = base.join(spikes, group, "left")
-    zero = [*SENSOR_STATS]
-    return out.select(*group, *SENSOR_STATS).na.fill(0, subset=zero)
+    return out.select(*group, *SENSOR_STATS).na.fill(0, subset=list(SENSOR_STATS))
 
 
 def sensor_lookback(

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright.schemas import TABLES
+from millwright.session import use_utc
 
 
 @dataclass(frozen=True)
@@ -117,6 +118,7 @@ def jdbc_options(
 
 def read_tables(spark: SparkSession, path: str, fmt: str = "parquet", missing_ok: bool = True) -> Tables:
     """All five tables from ``path/<table>`` (or ``path/<table>.csv``)."""
+    use_utc(spark)
     frames = {}
     for field in fields(Tables):
         schema = TABLES[field.name].schema
