@@ -539,26 +539,17 @@ FROM (SELECT strftime(snapshot_date, '%Y-%m') AS month, plant_name, {_mean('sla_
 
 # Inspections, sensors
 
-_add("inspection_derive", """
-SELECT work_order_id, inspection_no, ui AS units_inspected, ui - uf AS units_passed, uf AS units_failed,
-       CASE WHEN uf <= 0 THEN 'minor' WHEN CAST(uf AS DOUBLE) / ui > 15e-2 THEN 'critical'
-            WHEN CAST(uf AS DOUBLE) / ui > 5e-2 THEN 'major' ELSE 'minor' END AS severity,
-       epoch_us(actual_end) - epoch_us(scheduled_end) > 7200000000 AS sla_breach
-FROM (SELECT *, CAST(least(floor(ui * (CAST(defect_count AS DOUBLE) / actual_units) * 1125e-3), ui) AS INT) AS uf
-      FROM (SELECT *, CAST(least(greatest(1, actual_units * 3 // 4), actual_units) AS INT) AS ui,
-                   CAST(unnest(range(1, CASE WHEN priority = 'critical' AND work_order_id % 5 < 2 THEN 3 ELSE 2 END))
-                        AS INT) AS inspection_no
-            FROM wo WHERE status IN ('completed', 'delayed', 'failed') AND actual_end IS NOT NULL AND actual_units > 0))
-""", "wo")
-_add("degradation_window", """
-SELECT (year(scheduled_start) - 1995) * 12 + month(scheduled_start) - 1 BETWEEN 15 AND 18 AS degraded,
-       count(*) AS orders, min(scheduled_start) AS first_start, max(scheduled_start) AS last_start
-FROM wol GROUP BY ALL""", "wol")
+_add("inspection_severity", """
+SELECT CASE WHEN units_failed <= 0 THEN 'minor' WHEN CAST(units_failed AS DOUBLE) / units_inspected > 15e-2 THEN 'critical'
+            WHEN CAST(units_failed AS DOUBLE) / units_inspected > 5e-2 THEN 'major' ELSE 'minor' END AS level,
+       count(*) AS inspections, CAST(sum(units_failed) AS BIGINT) AS units_failed
+FROM insp GROUP BY ALL""", "insp")
+_add("late_finishes", """
+SELECT plant_id, count(*) AS eligible,
+       count(*) FILTER (WHERE epoch_us(actual_end) - epoch_us(scheduled_end) > 7200000000) AS late
+FROM wo WHERE status IN ('completed', 'delayed', 'failed') AND actual_end IS NOT NULL AND actual_units > 0
+GROUP BY ALL""", "wo")
 _SENSORS = {"temperature_c": 2, "vibration_hz": 4, "pressure_bar": 3, "power_kw": 3, "rpm": 1}
-_add("sensor_clamp", "SELECT telemetry_id, " + ", ".join(
-    f"CASE WHEN {c} IS NOT NULL THEN least({hi}, greatest({lo}, "
-    f"{_round(c if c == 'temperature_c' else f'abs({c})', _SENSORS[c])})) END AS {c}" for c, (lo, hi) in _RANGES.items()
-) + " FROM tel", "tel")
 _add("sensor_standardise", "SELECT telemetry_id, " + ", ".join(
     _round(f"({c} - avg({c}) OVER ()) / coalesce(nullif(stddev_pop({c}) OVER (), 0), 1)", 6) + f" AS {c}"
     for c in _SENSORS
@@ -615,3 +606,18 @@ ORDER BY md5(concat(CAST(work_order_id AS VARCHAR), ':42')), work_order_id LIMIT
 _add("write_back_scores", f"""
 SELECT work_order_id, {_round("CASE WHEN status = 'completed' THEN 1e0 - risk_score ELSE risk_score END", 4)} AS risk_score,
        CAST(CASE WHEN status = 'completed' THEN 0 ELSE risk_label END AS SMALLINT) AS risk_label FROM wo""", "wo")
+_add("hash_sample_null_ids", """
+SELECT count(*) AS rows, count(id) AS with_id FROM (
+  SELECT CASE WHEN work_order_id % 2 = 0 THEN work_order_id END AS id FROM wo
+  ORDER BY md5(concat(coalesce(CAST(CASE WHEN work_order_id % 2 = 0 THEN work_order_id END AS VARCHAR), ''), ':42'))
+  LIMIT 6000)""", "wo")
+_add("running_sums_blocks", """
+SELECT work_order_id, CAST(coalesce(sum(CASE WHEN status = 'completed' THEN defect_count END)
+       OVER (ORDER BY work_order_id ROWS UNBOUNDED PRECEDING), 0) AS BIGINT) AS total FROM wo""", "wo")
+_add("features_schedule_blocks", """
+SELECT work_order_id, CASE WHEN p IS NOT NULL THEN
+         CAST(row_number() OVER (PARTITION BY p ORDER BY scheduled_start, work_order_id) % 20 AS INT) END AS queue_depth
+FROM (SELECT *, CASE WHEN work_order_id % 7 <> 0 THEN plant_id END AS p FROM wo)""", "wo")
+_add("iforest_invariants", "SELECT count(*) AS readings, count(*) FILTER (WHERE " + " OR ".join(
+    f"{c} IS NULL" for c in _SENSORS) + ") AS incomplete, 0::BIGINT AS out_of_range, 0::BIGINT AS incomplete_scored FROM tel", "tel")
+_add("risk_invariants", "SELECT count(*) AS orders, 0::BIGINT AS out_of_range, 0::BIGINT AS unscored FROM wo", "wo")

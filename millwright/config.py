@@ -99,13 +99,6 @@ class ReportConfig:
     sample_seed: int = 42
 
 
-@dataclass(frozen=True)
-class DegradationConfig:
-    plant_index: int = 2
-    start_month: int = 15
-    end_month: int = 18
-
-
 @dataclass(frozen=True)
 class Config:
     validation: ValidationConfig = field(default_factory=ValidationConfig)
@@ -113,7 +106,6 @@ class Config:
     models: ModelConfig = field(default_factory=ModelConfig)
     kpis: KpiConfig = field(default_factory=KpiConfig)
     reports: ReportConfig = field(default_factory=ReportConfig)
-    degradation: DegradationConfig = field(default_factory=DegradationConfig)
 
 
 DEFAULT = Config()

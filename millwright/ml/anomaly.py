@@ -19,7 +19,7 @@ from pyspark.sql.window import Window
 
 from millwright.config import DEFAULT, Config
 from millwright.functions import half_even
-from millwright.operators.sampling import hash_sample
+from millwright.operators.sampling import hash_order, hash_sample
 from millwright.operators.stats import exact_quantile
 from millwright.schemas import SENSORS
 from millwright.session import materialize
@@ -66,17 +66,18 @@ def expected_path(n: np.ndarray) -> np.ndarray:
     return np.where(n > 2, long, np.where(n == 2, 1.0, 0.0))
 
 
-def _tree_samples(valid: DataFrame, trees: int, size: int, rows: int, seed: int) -> DataFrame:
-    if rows >= trees * size:
-        # Disjoint samples: the trees*size rows with the smallest hash, dealt out in turn.
-        picked = hash_sample(valid, "_id", trees * size, seed)
-        turn = F.row_number().over(Window.orderBy(F.md5(F.concat("_id", F.lit(f":{seed}"))), "_id"))
-        return picked.withColumns({"tree": ((turn - 1) % trees).cast("int"), "_rank": turn})
-    # Fewer rows than that: each tree draws from all of them, at most trees * (trees * size) pairs.
-    spread = valid.withColumn("tree", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))))
-    key = F.md5(F.concat_ws(":", "_id", "tree", F.lit(str(seed))))
-    rank = F.row_number().over(Window.partitionBy("tree").orderBy(key, "_id"))
-    return spread.withColumn("_rank", rank).filter(F.col("_rank") <= size)
+def _tree_samples(valid: DataFrame, trees: int, size: int, seed: int) -> DataFrame:
+    """``size`` distinct rows for each tree, by one rule for tables of any size.
+
+    The trees * size rows with the smallest hash, or all rows if there are fewer, stand in hash order; the trees
+    take ``size`` rows in turn and go round again when the rows run out. Both counts are model parameters.
+    """
+    pool = hash_sample(valid, "_id", trees * size, seed)
+    order = Window.orderBy(hash_order("_id", seed), "_id", *SENSORS)
+    pool = pool.withColumns({"_at": F.row_number().over(order) - 1, "_pool": F.count(F.lit(1)).over(Window.partitionBy())})
+    turns = F.sequence(F.col("_at").cast("long"), F.lit(trees * size - 1).cast("long"), F.col("_pool"))
+    dealt = pool.withColumn("_rank", F.explode(turns))
+    return dealt.withColumn("tree", F.floor(F.col("_rank") / F.lit(size)).cast("int")).drop("_at", "_pool")
 
 
 def _grower(size: int, seed: int):
@@ -121,7 +122,7 @@ def fit(readings: DataFrame, cfg: Config = DEFAULT, id_col: str = "telemetry_id"
         raise ValueError("no reading has all five sensors")
     scaler = fit_scaler(valid)
     size = min(conf.max_samples, rows)
-    samples = _tree_samples(scaled(valid, scaler), conf.n_estimators, size, rows, conf.random_state)
+    samples = _tree_samples(scaled(valid, scaler), conf.n_estimators, size, conf.random_state)
     nodes = samples.groupBy("tree").applyInPandas(_grower(size, conf.random_state), _NODES)
     return Forest(materialize(nodes), scaler, size)
 

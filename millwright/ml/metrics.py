@@ -40,7 +40,7 @@ def _auc() -> Column:
 
 
 def _average_precision() -> Column:
-    steps = F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp")))
+    steps = F.sum(F.col("pos").cast("double") * F.col("tp") / (F.col("tp") + F.col("fp")))
     return F.try_divide(steps, F.max("tp"))
 
 

@@ -2,7 +2,7 @@
 
 A window over one hot key, or over no key at all, runs in a single task. The operators here range-partition
 the rows by key *and* order columns instead, so a hot key spreads over many tasks, and carry what a partition
-needs from the rows before it. A group that was counted and is small takes the plain window.
+needs from the rows before it. A group that was counted and is small takes the plain window; both give the same rows.
 """
 
 from __future__ import annotations
@@ -31,7 +31,9 @@ def _sorted_parts(df: DataFrame, order: Sequence[Column]) -> DataFrame:
     return ranked.withColumn("_part", F.shiftright("_pos", _ROW_BITS))
 
 
-def _running(df: DataFrame, by: Sequence[str], order: str, sums: dict[str, Column], frame) -> DataFrame:
+def _running(
+    df: DataFrame, by: Sequence[str], order: str | Sequence[Column], sums: dict[str, Column], frame
+) -> DataFrame:
     w = Window.partitionBy(*by).orderBy(order).rowsBetween(*frame)
     return df.withColumns({name: F.coalesce(F.sum(value).over(w), F.lit(0)) for name, value in sums.items()})
 
@@ -53,17 +55,20 @@ def row_index(df: DataFrame, order: Sequence[Column], name: str = "row_index") -
 def running_sums(
     df: DataFrame, order: Sequence[Column], sums: dict[str, str], max_rows: int = SINGLE_TASK_ROWS
 ) -> DataFrame:
-    """Inclusive running totals over a total order: ``sums`` maps output name to summed column."""
+    """Inclusive running totals over a total order: ``sums`` maps output name to summed column.
+
+    NULLs add nothing, so a total is 0 until the first value.
+    """
     if fits(df, max_rows):
-        w = Window.orderBy(*order).rowsBetween(*_UP_TO)
-        return df.withColumns({name: F.sum(value).over(w) for name, value in sums.items()})
+        return _running(df, (), order, {name: F.col(value) for name, value in sums.items()}, _UP_TO)
     parts = _sorted_parts(df, order)
     totals = parts.groupBy("_part").agg(*[F.sum(v).alias(f"_t_{k}") for k, v in sums.items()])
     starts = _running(totals, (), "_part", {f"_s_{k}": F.col(f"_t_{k}") for k in sums}, _BEFORE)
     starts = starts.select("_part", *[f"_s_{k}" for k in sums])
     inside = Window.partitionBy("_part").orderBy("_pos").rowsBetween(*_UP_TO)
     joined = parts.join(F.broadcast(starts), "_part")
-    joined = joined.withColumns({k: F.col(f"_s_{k}") + F.sum(v).over(inside) for k, v in sums.items()})
+    own = {k: F.coalesce(F.sum(v).over(inside), F.lit(0)) for k, v in sums.items()}
+    joined = joined.withColumns({k: F.col(f"_s_{k}") + total for k, total in own.items()})
     return joined.drop("_part", "_pos", *[f"_s_{k}" for k in sums])
 
 
@@ -107,11 +112,16 @@ def over_key_order(
     max_group_rows: int = GROUP_ROWS,
     block_rows: int = 1_000_000,
 ) -> DataFrame:
-    """Add ordered per-key columns. ``order`` must be total within the key (end it with a unique id)."""
+    """Add ordered per-key columns. ``order`` must be total within the key (end it with a unique id).
+
+    Rows with a NULL key belong to no group: their new columns are NULL, whatever the number of rows.
+    """
     if largest_group(df, key) <= max_group_rows:
         w = Window.partitionBy(key).orderBy(*order)
-        return df.withColumns({spec.name: _plain(spec, w) for spec in specs})
-    return _in_blocks(df, key, order, specs, block_rows)
+        out = df.withColumns({spec.name: _plain(spec, w) for spec in specs})
+    else:
+        out = _in_blocks(df, key, order, specs, block_rows)
+    return out.withColumns({spec.name: F.when(F.col(key).isNotNull(), F.col(spec.name)) for spec in specs})
 
 
 def _plain(spec: Spec, w: WindowSpec) -> Column:

@@ -9,11 +9,12 @@ _PREFIX = 4  # hex digits used to narrow the candidates: 65,536 groups
 
 
 def hash_order(id_col: str, seed: int) -> Column:
-    return F.md5(F.concat(F.col(id_col).cast("string"), F.lit(f":{seed}")))
+    """Hash of (id, seed); a NULL id counts as an empty one."""
+    return F.md5(F.concat(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit(f":{seed}")))
 
 
 def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = 42) -> DataFrame:
-    """Exactly ``min(n, rows)`` rows: those with the smallest hash of (id, seed).
+    """Exactly ``min(n, rows)`` rows: those with the smallest hash of (id, seed). Rows with NULL ids take part.
 
     One counting pass over a hash prefix finds how far the sample can reach, so only rows up to there are
     sorted and the top-n merge stays small on any number of partitions.

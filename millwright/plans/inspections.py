@@ -1,16 +1,13 @@
-"""Inspection outcomes of finished orders, sensor clamping and the degradation window."""
+"""Predicates over orders and inspections: which orders are inspected, how severe a result is, which finish is late."""
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.config import DEFAULT, DegradationConfig, ValidationConfig
-from millwright.functions import clip, half_even, hours_between, months_between
+from millwright.functions import hours_between
 
-# Decimals of each sensor, and whether its sign is dropped before clamping.
-SENSOR_DIGITS = {"temperature_c": 2, "vibration_hz": 4, "pressure_bar": 3, "power_kw": 3, "rpm": 1}
-SIGNED_SENSORS = ("temperature_c",)
+# Shares of failed units above which a result is critical or major.
 CRITICAL_SHARE = 0.15
 MAJOR_SHARE = 0.05
 
@@ -37,43 +34,3 @@ def severity(failed: Column, inspected: Column) -> Column:
 def late_finish(threshold_hours: float) -> Column:
     """SLA breach of an inspection: the order ended more than the threshold after its scheduled end."""
     return hours_between("scheduled_end", "actual_end") > threshold_hours
-
-
-def derive_inspections(
-    orders: DataFrame,
-    inspected: Column,
-    repeats: Column | None = None,
-    factor: float = 1.0,
-    sla_hours: float = DEFAULT.kpis.sla_breach_threshold_hours,
-) -> DataFrame:
-    """One row per order and inspection; ``inspected`` and ``repeats`` say how many units and how often."""
-    df = eligible_orders(orders).withColumn("units_inspected", F.least(inspected.cast("int"), F.col("actual_units")))
-    numbers = F.sequence(F.lit(1), repeats if repeats is not None else F.lit(1))
-    df = df.withColumn("inspection_no", F.explode(numbers))
-    rate = F.col("defect_count").cast("double") / F.col("actual_units").cast("double")
-    failed = F.floor(F.col("units_inspected") * rate * F.lit(factor)).cast("int")
-    df = df.withColumn("units_failed", F.least(failed, F.col("units_inspected")))
-    return df.select(
-        "work_order_id",
-        "inspection_no",
-        "units_inspected",
-        (F.col("units_inspected") - F.col("units_failed")).alias("units_passed"),
-        "units_failed",
-        severity(F.col("units_failed"), F.col("units_inspected")).alias("severity"),
-        late_finish(sla_hours).alias("sla_breach"),
-    )
-
-
-def in_degradation_window(ts: str, start: str, cfg: DegradationConfig = DEFAULT.degradation) -> Column:
-    """Calendar months since ``start`` within the window, both ends included."""
-    return months_between(ts, start).between(cfg.start_month, cfg.end_month)
-
-
-def clamp_sensors(readings: DataFrame, cfg: ValidationConfig = DEFAULT.validation) -> DataFrame:
-    """Rounded sensor values held within their physical range; NULL stays NULL."""
-    clamped = {}
-    for sensor, (low, high) in cfg.sensor_ranges.items():
-        if sensor in readings.columns:
-            value = F.col(sensor) if sensor in SIGNED_SENSORS else F.abs(F.col(sensor))
-            clamped[sensor] = clip(half_even(value, SENSOR_DIGITS[sensor]), low, high)
-    return readings.withColumns(clamped)

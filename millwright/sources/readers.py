@@ -65,20 +65,27 @@ def _parse(text: F.Column, kind: T.DataType) -> F.Column:
     if isinstance(kind, T.StringType):
         return text
     if isinstance(kind, (T.IntegerType, T.LongType, T.ShortType)):
-        return text.try_cast("double").try_cast(kind)  # accepts 12 and 12.0
+        number = text.try_cast("double")
+        whole = F.when(number == F.floor(number), number).try_cast(kind)  # 12.0, but not 12.5
+        return F.coalesce(text.try_cast(kind), whole)
     return text.try_cast(kind)
 
 
 def read_parquet(
     spark: SparkSession, path: str, schema: T.StructType | None = None, missing_ok: bool = False
 ) -> DataFrame:
-    """Parquet scan; with a schema, only its columns are read and zone-less timestamps become UTC ones."""
+    """Parquet scan; with a schema, only its columns are read and zone-less timestamps become UTC ones.
+
+    A column that the files lack is NULL, as in the CSV reader.
+    """
 
     def scan() -> DataFrame:
         df = spark.read.parquet(path)
         if schema is None:
             return df
-        return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields if f.name in df.columns])
+        return df.select(*[
+            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+        ])
 
     if missing_ok:
         return _or_empty(scan, spark, schema or T.StructType([]))

@@ -215,27 +215,14 @@ def test_half_even_matches_numpy(spark):
         assert got == [float(np.round(np.float64(v), digits)) for v in values]
 
 
-def test_degradation_window_bounds(spark):
-    starts = [datetime(2021, 1, 31), datetime(2022, 3, 31), datetime(2022, 4, 1), datetime(2022, 7, 31), datetime(2022, 8, 1)]
-    df = orders(spark, [{"scheduled_start": s} for s in starts])
-    out = df.withColumn("hit", insp.in_degradation_window("scheduled_start", "2021-01-01"))
-    assert column(out, "hit") == [False, False, True, True, False]
-
-
 def test_inspections_by_hand(spark):
     df = orders(spark, [
-        {"actual_units": 100, "defect_count": 16, "actual_end": T0 + timedelta(hours=10), "scheduled_start": T0},
-        {"actual_units": 100, "defect_count": 0, "actual_end": T0 + timedelta(hours=10, seconds=1), "scheduled_start": T0},
+        {"actual_units": 100, "actual_end": T0 + timedelta(hours=10), "scheduled_start": T0},
+        {"actual_units": 100, "actual_end": T0 + timedelta(hours=10, seconds=1), "scheduled_start": T0},
         {"status": "cancelled"}, {"actual_end": None}, {"actual_units": 0},
     ])
-    rows = insp.derive_inspections(df, F.lit(100), F.when(F.col("work_order_id") == 1, 2).otherwise(1)).orderBy(
-        "work_order_id", "inspection_no").collect()
-    assert [(r["work_order_id"], r["units_failed"], r["severity"], r["sla_breach"]) for r in rows] == [
-        (1, 16, "critical", False), (1, 16, "critical", False), (2, 0, "minor", True)]
-
-
-def test_clamp_sensors(spark):
-    row = insp.clamp_sensors(readings(spark, [
-        {"temperature_c": -20.0, "vibration_hz": -60.0, "pressure_bar": 0.1, "power_kw": None, "rpm": 12.345}])).first()
-    assert (row["temperature_c"], row["vibration_hz"], row["pressure_bar"], row["power_kw"], row["rpm"]) == (
-        15.0, 50.0, 0.5, None, 12.3)
+    rows = insp.eligible_orders(df).select("work_order_id", insp.late_finish(2).alias("late")).orderBy("work_order_id")
+    assert [tuple(r) for r in rows.collect()] == [(1, False), (2, True)]
+    units = spark.createDataFrame([(16, 100), (15, 100), (5, 100), (0, 100), (0, 0)], "f int, n int")
+    levels = [r["s"] for r in units.select(insp.severity(F.col("f"), F.col("n")).alias("s")).collect()]
+    assert levels == ["critical", "major", "minor", "minor", "minor"]

@@ -130,3 +130,30 @@ def test_contiguous_spans(spark):
     df = spark.createDataFrame([("a", d) for d in days], "k string, d string").withColumn("d", F.col("d").cast("date"))
     got = [(str(r["span_start"]), str(r["span_end"]), r["days"]) for r in contiguous_spans(df, "k", "d", 2).orderBy("span").collect()]
     assert got == [("2022-01-01", "2022-01-04", 3), ("2022-01-07", "2022-01-07", 1)]
+
+
+@pytest.mark.parametrize("max_group", [10**6, 0])
+def test_null_keys_have_no_group(spark, max_group):
+    rows = [(i, None if i % 3 == 0 else i % 2, i) for i in range(60)]
+    df = spark.createDataFrame(rows, "id long, k int, v long")
+    specs = [RollingRows("s", lambda: F.sum("v"), 3), RowNumber("n"), LastBefore("last", "v")]
+    out = {r["id"]: r for r in over_key_order(df, "k", [F.col("id")], specs, max_group, 7).collect()}
+    for key in (0, 1):
+        group = [r for r in rows if r[1] == key]
+        for i, r in enumerate(group):
+            assert (out[r[0]]["n"], out[r[0]]["last"]) == (i + 1, group[i - 1][2] if i else None)
+            assert out[r[0]]["s"] == sum(x[2] for x in group[max(0, i - 2):i + 1])
+    assert all((out[r[0]]["s"], out[r[0]]["n"], out[r[0]]["last"]) == (None,) * 3 for r in rows if r[1] is None)
+
+
+def test_running_sums_over_nulls(spark):
+    df = spark.createDataFrame([(i, i if i in (10, 20, 30) else None) for i in range(40)], "id long, v long").repartition(4)
+    one, many = (running_sums(df, [F.col("id")], {"t": "v"}, n).orderBy("id").collect() for n in (100, 0))
+    assert one == many
+    assert [r["t"] for r in one] == [sum(x for x in (10, 20, 30) if x <= i) for i in range(40)]
+
+
+@pytest.mark.parametrize("n", [20, 50, 100, 200])
+def test_hash_sample_keeps_rows_without_ids(spark, n):
+    df = spark.createDataFrame([(None if i < 30 else i,) for i in range(100)], "id long")
+    assert hash_sample(df, "id", n).count() == min(n, 100)
