@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from millwright.llm.words import LOWER, SPACE, UPPER
+from millwright.llm.words import LOWER, SPACE, UPPER, fields, whole_row
 from millwright.session import materialize
 
 
@@ -46,18 +46,18 @@ def dedup_lines(docs: DataFrame, min_docs: int = 2, min_chars: int = 10) -> Data
     places = dropped.groupBy(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")).agg(
         F.array_sort(F.collect_set("pos")).alias("_gone")
     )
-    keyed = docs.withColumn("_text", F.xxhash64("text"))
-    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
-    joined = keyed.join(places, same, "left").withColumn("_lines", _lines(F.col("text")))
+    keyed = docs.select(whole_row(docs), F.col("doc_id").alias("own_id"), F.xxhash64("text").alias("own_text"))
+    same = F.col("own_id").eqNullSafe(F.col("_id")) & (F.col("own_text") == F.col("_hash"))
+    joined = keyed.join(places, same, "left").withColumn("_lines", _lines(F.col("doc.text")))
     bounds = F.concat(F.array(F.lit(-1)), F.col("_gone"), F.array(F.size("_lines")))
     runs = F.transform(
         F.sequence(F.lit(1), F.size("_gone") + 1),
         lambda i: F.slice("_lines", F.element_at(bounds, i) + 2, F.element_at(bounds, i + 1) - F.element_at(bounds, i) - 1),
     )
-    kept = F.when(F.col("_gone").isNull(), F.coalesce("text", F.lit(""))).otherwise(
+    kept = F.when(F.col("_gone").isNull(), F.coalesce("doc.text", F.lit(""))).otherwise(
         F.concat_ws("\n", F.flatten(runs))
     )
-    own = [F.col(f"`{c}`") for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
+    own = fields(docs, "text", "n_lines", "n_dropped")
     return joined.select(
         *own, kept.alias("text"), F.size("_lines").cast("long").alias("n_lines"),
         F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("n_dropped"),

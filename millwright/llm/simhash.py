@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright.llm.components import components
-from millwright.llm.words import chunks, spans_of
+from millwright.llm.words import chunks, fields, spans_of, whole_row
 from millwright.session import materialize
 
 BITS = 64
@@ -125,9 +125,6 @@ def drop_near_duplicates(docs: DataFrame, size: int = 3, radius: int = 2) -> Dat
     # A component without any id is named by null: its fingerprint class then stands for it.
     group = F.when(F.col("component_id").isNull(), F.col("fp"))
     best = rows.groupBy("component_id", group.alias("unnamed")).agg(F.min(F.struct(*ids)).alias("best")).select("best.*")
-    keyed = docs.withColumns({
-        "_null_id": F.col("doc_id").isNull(), "_id": F.coalesce("doc_id", F.lit(0)), "_hash": F.xxhash64("text"),
-    })
-    same = (F.col("_null_id") == F.col("null_id")) & (F.col("_id") == F.col("id")) & (F.col("_hash") == F.col("text_hash"))
-    kept = keyed.join(best, same, "left_semi").dropDuplicates(["_null_id", "_id", "_hash"])
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    keyed = docs.select(whole_row(docs), *ids[:2], F.xxhash64("text").alias("text_hash"))
+    keys = ["null_id", "id", "text_hash"]
+    return keyed.join(best, keys, "left_semi").dropDuplicates(keys).select(*fields(docs))

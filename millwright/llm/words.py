@@ -6,6 +6,8 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 #: The ASCII white space that separates words, and the two alphabets of the lower-casing.
 SPACE = " \t\n\x0b\f\r"
@@ -45,3 +47,13 @@ def pieces_of(text: str) -> tuple[str, list[str]] | None:
 
 def spelled(part: str) -> str:
     return part if part[:1] == "\n" else " " + part
+
+
+def whole_row(df: DataFrame) -> Column:
+    """All columns in one struct named doc, out of the way of columns that an operator adds."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc")
+
+
+def fields(df: DataFrame, *without: str) -> list[Column]:
+    """The columns of ``df`` out of its ``whole_row``, but for some."""
+    return [F.col("doc").getField(c).alias(c) for c in df.columns if c not in without]
