@@ -12,16 +12,18 @@ from __future__ import annotations
 import html
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from millwright.operators.sizing import fits
 from millwright.session import materialize
 
 MIN_PAGES = 8
+BROADCAST_TOKENS = 100_000
 
 #: Elements whose contents are no text, furniture by element, role and class or id, and block elements.
 RAW = "script style template noscript textarea iframe svg math title select option object canvas video audio"
@@ -137,16 +139,25 @@ def _token(*parts: str) -> int:
     return xxhash.xxh64_intdigest("\x00".join(parts).encode()) - (1 << 63)
 
 
-def page_tokens(source: str | None) -> tuple[list[dict], list[dict]]:
-    """Tokens with their counts (and whether they are containers), and the blocks in page order."""
+def page_tokens(source: str | None) -> list[dict]:
+    """Every token of a page with its count, and whether it is a container."""
     paths, blocks = read_page(source or "")
-    counted = [(_token(p), n, True) for p, n in Counter(paths).items()]
-    named = [(_token(path, text), text, inside) for path, text, inside in blocks]
-    counted += [(t, n, False) for t, n in Counter(t for t, _, _ in named).items()]
-    return (
-        [{"token": t, "n": n, "container": c} for t, n, c in counted],
-        [{"token": t, "text": text, "inside": inside} for t, text, inside in named],
-    )
+    kinds = ((Counter(map(_token, paths)), True), (Counter(_token(path, text) for path, text, _ in blocks), False))
+    return [{"token": t, "n": n, "container": c} for counts, c in kinds for t, n in counts.items()]
+
+
+def page_blocks(source: str | None) -> list[dict]:
+    """The blocks outside furniture in page order, each with its token."""
+    return [{"token": _token(path, text), "text": text, "inside": inside} for path, text, inside in read_page(source or "")[1]]
+
+
+def _read(make: Callable[[str | None], list[dict]], kind: str) -> Column:
+    @F.pandas_udf(f"array<struct<{kind}>>")
+    def read(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        for batch in batches:
+            yield pd.Series([make(h) for h in batch], dtype=object)
+
+    return read(F.col("html"))
 
 
 def template_tokens(tokens: DataFrame) -> DataFrame:
@@ -169,27 +180,23 @@ def main_text(pages: DataFrame) -> DataFrame:
     If a page has an article or main part, only its blocks count, else all blocks outside furniture. Template text of
     the host goes; blocks are joined by line breaks in page order. A null or empty page, or one without such a block,
     has an empty text. Repeated rows are all returned. A null url is a host of its own name; an empty table stays
-    empty. Pages are read once and stored as blocks; a host's template is joined to its pages, whatever their number.
-    """
-
-    @F.pandas_udf(
-        "tokens array<struct<token: long, n: int, container: boolean>>, "
-        "blocks array<struct<token: long, text: string, inside: boolean>>"
-    )
-    def read(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield pd.DataFrame([page_tokens(h) for h in batch], columns=["tokens", "blocks"])
+    empty.
 
+    Pages are read twice, for their tokens and for their blocks, so that no text is stored or shuffled on the way. The
+    templates are broadcast if they have at most BROADCAST_TOKENS tokens in all, which is counted; beyond that they
+    meet the pages in a shuffle join on the host, whose hot hosts adaptive execution splits.
+    """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    parsed = materialize(
-        pages.select("page_id", "url", host.alias("host"), F.xxhash64("html").alias("page"), read(F.col("html")).alias("r"))
-        .select("page_id", "url", "host", "page", "r.tokens", "r.blocks")
-    )
-    tokens = parsed.select("host", "page", F.explode("tokens").alias("t")).select("host", "page", "t.*")
-    # Few per host: each stands on every page that has one of the host's containers.
-    templates = template_tokens(tokens).groupBy("host").agg(F.collect_set("token").alias("template"))
-    joined = parsed.select("page_id", "url", "host", "blocks").join(templates, "host", "left")
-    template = F.coalesce("template", F.array().cast("array<long>"))
+    named = pages.select("page_id", "url", host.alias("host"), "html")
+    found = F.explode(_read(page_tokens, "token: long, n: int, container: boolean")).alias("t")
+    tokens = named.select("host", F.xxhash64("html").alias("page"), found).select("host", "page", "t.*")
+    template = materialize(template_tokens(materialize(tokens)))
+    by_host = materialize(template.groupBy("host").agg(F.collect_set("token").alias("template")))
+    if fits(template, BROADCAST_TOKENS):
+        by_host = F.broadcast(by_host)
+    known = F.coalesce("template", F.array().cast("array<long>"))
     some = F.exists("blocks", lambda b: b["inside"])
-    kept = F.filter("blocks", lambda b: (b["inside"] | ~some) & ~F.array_contains(template, b["token"]))
+    kept = F.filter("blocks", lambda b: (b["inside"] | ~some) & ~F.array_contains(known, b["token"]))
+    blocks = _read(page_blocks, "token: long, text: string, inside: boolean").alias("blocks")
+    joined = named.join(by_host, "host", "left").select("page_id", "url", "template", blocks)
     return joined.select("page_id", "url", F.concat_ws("\n", F.transform(kept, lambda b: b["text"])).alias("text"))
