@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millwright.llm.bpe import round_trip
 from millwright.llm.curves import nearest
+from millwright.llm.licenses import scan_licenses
 from millwright.llm.line_dedup import dedup_lines
 from millwright.llm.packing import pack
 from millwright.llm.pages import main_text
@@ -57,6 +58,13 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A document's source is its directory."""
+    path = F.concat_ws("/", F.col("source"), F.col("doc_id").cast("string"))
+    found = scan_licenses(_table(spark, sf_dir, "documents").select("doc_id", "source", "text"), path)
+    return found.select("doc_id", "license", F.round("score", 6).alias("score"), "n_notices", "license_from")
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents")
     found = find_pii(docs, fit_tagger(docs))
@@ -90,6 +98,6 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
-        op1_simhash, op2_line_dedup, op3_sharding, op4_quality, op6_pii, op7_nearest, op8_bpe, op9_pages, op10_packing,
+        op1_simhash, op2_line_dedup, op3_sharding, op4_quality, op5_licenses, op6_pii, op7_nearest, op8_bpe, op9_pages, op10_packing,
     )
 }
