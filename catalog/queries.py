@@ -566,8 +566,8 @@ def features_schedule_blocks(t: Testbed) -> DataFrame:
     return features.schedule_features(some, max_group_rows=0).select("work_order_id", "queue_depth")
 
 
-# Models: whole tables and the parameters of the library, but for the boosting rounds. A round costs about 0.3 s at
-# 150,000 orders on 8 cores, so the full 400 would take minutes for each of the models and folds.
+# Models: whole tables and the parameters of the library, but for the boosting rounds: each model and fold pays for every
+# round, and the full 400 would take minutes.
 
 QUERY_ROUNDS = 5
 _MODELS = replace(DEFAULT, models=replace(
