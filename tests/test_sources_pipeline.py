@@ -160,3 +160,17 @@ def test_validation_report_is_stored_before_the_gate_stops(spark, csv_dir, tmp_p
     with pytest.raises(ValidationError):
         run.validate()
     assert read_parquet(spark, str(tmp_path / "root" / "reports" / "validation")).count() > 20
+
+
+def test_exact_integers_and_absent_columns(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from millwright.sources.readers import read_csv, read_parquet
+
+    schema = T.StructType([T.StructField("id", T.LongType()), T.StructField("x", T.DoubleType())])
+    (tmp_path / "t.csv").write_text("id\n9007199254740993\n12.0\n12.5\nabc\n")
+    rows = read_csv(spark, str(tmp_path / "t.csv"), schema).collect()
+    assert [(r["id"], r["x"]) for r in rows] == [(9007199254740993, None), (12, None), (None, None), (None, None)]
+    spark.range(2).write.parquet(str(tmp_path / "p"))
+    out = read_parquet(spark, str(tmp_path / "p"), schema)
+    assert out.dtypes == [("id", "bigint"), ("x", "double")] and out.where("x is null").count() == 2
