@@ -30,6 +30,7 @@ NO_FAILURE_DAYS = 365.0
 UTILIZATION_DEFAULT = 0.8
 RUSHED_HOURS = 2
 
+# Names of the sensor statistics.
 SENSOR_STATS = (
     "temp_mean", "temp_std", "temp_max", "vib_mean", "vib_std", "vib_max", "pres_mean", "pres_deviation", "pwr_mean",
     "pwr_spike_count", "rpm_mean", "rpm_cv", "anomaly_count",
@@ -182,7 +183,7 @@ def aggregate_telemetry(
     """Sensor statistics per key and time bucket; a statistic without values is 0.
 
     A spike is a power reading above mean + 2 standard deviations of its own group. That needs the finished
-    group statistics, so readings are read again only for groups whose maximum shows there is one.
+    group statistics, which are stored once; readings are read again only for groups whose maximum shows there is one.
     """
     df = parse_timestamps(telemetry, "recorded_at").withColumn(bucket_col, F.date_trunc(bucket, "recorded_at"))
     group = [*keys, bucket_col]
@@ -190,7 +191,7 @@ def aggregate_telemetry(
         df = df.filter(F.col(column).isNotNull())
     anomalous = F.coalesce(F.col("anomaly_flag").cast("int"), F.lit(0))
     rpm_mean = F.avg("rpm")
-    base = df.groupBy(*group).agg(
+    base = materialize(df.groupBy(*group).agg(
         F.avg("temperature_c").alias("temp_mean"),
         F.stddev_samp("temperature_c").alias("temp_std"),
         F.max("temperature_c").alias("temp_max"),
@@ -203,9 +204,10 @@ def aggregate_telemetry(
         rpm_mean.alias("rpm_mean"),
         F.when(rpm_mean > 0, F.stddev_samp("rpm") / rpm_mean).otherwise(F.lit(0.0)).alias("rpm_cv"),
         F.sum(anomalous).cast("long").alias("anomaly_count"),
-    )
-    limit = F.avg("power_kw") + 2 * F.stddev_samp("power_kw")
-    spiky = df.groupBy(*group).agg(F.max("power_kw").alias("_top"), limit.alias("_limit")).filter("_top > _limit")
+        F.max("power_kw").alias("_top"),
+        (F.avg("power_kw") + 2 * F.stddev_samp("power_kw")).alias("_limit"),
+    ))
+    spiky = base.filter("_top > _limit").select(*group, "_limit")
     if row_count(spiky) == 0:
         out = base.withColumn("pwr_spike_count", F.lit(0).cast("long"))
     else:

@@ -14,6 +14,7 @@ from millwright.functions import day_of, parse_timestamps, pearson, share, to_do
 from millwright.operators.sampling import hash_sample
 from millwright.operators.stats import contiguous_spans, exact_quantile
 from millwright.plans.reports.common import only
+from millwright.session import materialize
 
 
 def typed_readings(readings: DataFrame, plants: list[str] | None = None) -> DataFrame:
@@ -58,8 +59,8 @@ def vibration_p99(readings: DataFrame) -> DataFrame:
 
 def vibration_events(readings: DataFrame, cfg: ReportConfig = DEFAULT.reports) -> DataFrame:
     """Every flagged reading above the 99th percentile, and a seeded sample of the others."""
-    events = flagged(readings).select("telemetry_id", "plant_name", "recorded_at", "vibration_hz")
-    p99 = vibration_p99(readings).first()["p99_vibration"]
+    events = materialize(flagged(readings).select("telemetry_id", "plant_name", "recorded_at", "vibration_hz"))
+    p99 = exact_quantile(events, "vibration_hz", 0.99, "p99_vibration").first()["p99_vibration"]
     extreme = F.col("vibration_hz") > F.lit(p99)
     usual = hash_sample(events.filter(~extreme), "telemetry_id", cfg.anomaly_sample_rows, cfg.sample_seed)
     return usual.withColumn("band", F.lit("normal")).unionByName(

@@ -29,8 +29,9 @@ def month_over_month(kpis: DataFrame, columns: Sequence[str] = CARD_KPIS) -> Dat
         *[fixed_avg(c, KPI_DIGITS[c]).alias(c) for c in columns]
     )
     long = monthly.unpivot(["month"], list(columns), "kpi", "mean")
-    before = long.select(F.add_months("month", 1).alias("month"), "kpi", F.col("mean").alias("prior_mean"))
-    paired = long.join(before, ["month", "kpi"], "left")
+    w = Window.partitionBy("kpi").orderBy("month")  # one row per month
+    follows = F.lag("month").over(w) == F.add_months("month", -1)
+    paired = long.withColumn("prior_mean", F.when(follows, F.lag("mean").over(w)))
     latest = paired.groupBy("kpi").agg(F.max_by(F.struct("month", "mean", "prior_mean"), "month").alias("m"))
     delta = F.col("m.mean") - F.col("m.prior_mean")
     return latest.select(

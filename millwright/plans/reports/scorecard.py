@@ -42,6 +42,7 @@ def plant_performance(kpis: DataFrame) -> DataFrame:
 def metrics_table(metrics: DataFrame) -> DataFrame:
     """The metrics record as (metric, value) text rows."""
     four = lambda c: F.format_string("%.4f", F.coalesce(F.col(c), F.lit(0.0)))
+    # Names of the metrics.
     rows = {
         "CV AUC-ROC": F.concat(four("cv_auc_mean"), F.lit(" ± "), four("cv_auc_std")),
         "Test AUC-ROC": four("test_auc_roc"),

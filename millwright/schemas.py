@@ -14,6 +14,7 @@ def _struct(*cols: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in cols])
 
 
+# Columns and types of the stored tables.
 PLANTS = _struct(
     ("plant_id", _INT), ("plant_code", _STR), ("plant_name", _STR), ("region", _STR), ("capacity_units", _INT),
 )
@@ -77,7 +78,7 @@ class TableRules:
     defaults: dict[str, object] = field(default_factory=dict)
 
 
-# Load order: a table comes after the tables it refers to.
+# Constraints and defaults. Load order: a table comes after the tables it refers to.
 TABLES: dict[str, TableRules] = {
     "plants": TableRules(
         PLANTS, ("plant_id", "plant_code", "plant_name", "capacity_units"), (("plant_id",), ("plant_code",)),
@@ -118,4 +119,3 @@ TABLES: dict[str, TableRules] = {
         KPI_SNAPSHOTS, ("snapshot_date", "plant_id"), (("snapshot_date", "plant_id"),), {"plant_id": "plants"},
     ),
 }
-PRIMARY_KEYS = {name: rules.unique[0][0] for name, rules in TABLES.items() if len(rules.unique[0]) == 1}
