@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from millwright.sources import testbed as tb
+from catalog import testbed as tb
 
 _D = tb.DUCKDB
 _N_MACHINES = "(SELECT count(*) FROM supplier)"

@@ -8,6 +8,7 @@ from dataclasses import replace
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from catalog.testbed import Testbed
 from millwright.config import DEFAULT, FeatureConfig
 from millwright.functions import half_even
 from millwright.ml import anomaly, importance, metrics, risk, split
@@ -18,7 +19,6 @@ from millwright.plans import features, inspections, kpis, validation, views
 from millwright.plans.reports import common, equipment, executive, quality, risk as risk_page, scorecard
 from millwright.session import materialize
 from millwright.sources.load import write_back
-from millwright.sources.testbed import Testbed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}

@@ -1,6 +1,6 @@
 """The stages in running order, with parquet folders between them.
 
-``ingest -> validate -> features -> train -> score -> kpis -> views``. Features run before scoring, so the anomaly
+``ingest -> validate -> features -> train -> score -> kpis -> views -> reports``. Features run before scoring, so the anomaly
 flags they read are those of the previous run; a missing flag counts as no anomaly.
 """
 
@@ -9,10 +9,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millwright.config import DEFAULT, Config
-from millwright.ml import anomaly, risk
+from millwright.ml import anomaly, importance, metrics, risk
 from millwright.plans import features, kpis, validation, views
+from millwright.plans.reports import scorecard
+from millwright.plans.reports.stored import report_datasets
+from millwright.schemas import KPI_SNAPSHOTS
 from millwright.session import materialize
 from millwright.sources.load import load_csvs, write_back
 from millwright.sources.readers import read_parquet, read_tables
@@ -37,9 +41,11 @@ class Pipeline:
         return load_csvs(self.spark, csv_dir, self._at("tables"))
 
     def validate(self) -> DataFrame:
-        """Store all check results, then stop the run if one is critical."""
+        """Store all check results and the unknown statuses, then stop the run if a check is critical."""
         path = self._at("reports", "validation")
-        write_parquet(validation.validate_all(self._tables(), self.cfg.validation), path)
+        tables = self._tables()
+        write_parquet(validation.validate_all(tables, self.cfg.validation), path)
+        write_parquet(validation.invalid_statuses(tables.work_orders), self._at("reports", "invalid_statuses"))
         results = read_parquet(self.spark, path)
         validation.gate(results)
         return results
@@ -51,13 +57,27 @@ class Pipeline:
         return read_parquet(self.spark, self._at("features"))
 
     def train(self) -> DataFrame:
-        """Fit and save the anomaly forest and the risk ensemble; returns the metrics record."""
+        """Fit and save the anomaly forest and the risk ensemble; returns the metrics record.
+
+        The evaluation on the hold-out (metrics, confusion, ROC of each model) and the importances are stored too.
+        """
         anomaly.fit(self._tables().machine_telemetry, self.cfg).save(self._at("models", "anomaly"))
-        trained = risk.train(read_parquet(self.spark, self._at("features")), self.cfg)
+        matrix = read_parquet(self.spark, self._at("features"))
+        trained = risk.train(matrix, self.cfg)
         trained.models.save(self._at("models", "risk"))
-        metrics = materialize(trained.metrics)
-        write_metrics(metrics, self._at("reports", "model_metrics"))
-        return metrics
+        record = materialize(trained.metrics)
+        write_metrics(record, self._at("reports", "model_metrics"))
+        called = F.col("proba") >= self.cfg.kpis.high_risk_score_threshold
+        evaluation = {
+            "metrics_table": scorecard.metrics_table(record),
+            "confusion": metrics.confusion_matrix(trained.held_out, features.TARGET, called),
+            "roc": risk.roc_by_model(trained.held_out),
+            "permutation_importance": importance.permutation_importance(matrix, trained.models, self.cfg),
+            "tree_importance": importance.tree_importance(trained.models, matrix),
+        }
+        for name, rows in evaluation.items():
+            write_parquet(rows, self._at("reports", "evaluation", name))
+        return record
 
     def score(self) -> None:
         """Write scores, and new versions of the scored tables with the scores in place."""
@@ -81,12 +101,25 @@ class Pipeline:
             self._scored("work_orders"), t.machines, self._scored("machine_telemetry"), self.cfg.kpis
         )
         write_snapshots(rows, self._at("tables", "kpi_snapshots"))
-        return read_parquet(self.spark, self._at("tables", "kpi_snapshots"))
+        stored = self._snapshots()
+        constraints = validation.constraint_checks({"kpi_snapshots": stored, "plants": t.plants})
+        write_parquet(constraints, self._at("reports", "kpi_constraints"))
+        return stored
+
+    def _snapshots(self) -> DataFrame:
+        return read_parquet(self.spark, self._at("tables", "kpi_snapshots"), KPI_SNAPSHOTS)
 
     def refresh_views(self) -> None:
         t = self._tables()
-        snapshots = read_parquet(self.spark, self._at("tables", "kpi_snapshots"))
-        views.refresh_all_views(snapshots, self._scored("work_orders"), t.plants, t.machines, self._at("views"))
+        views.refresh_all_views(self._snapshots(), self._scored("work_orders"), t.plants, t.machines, self._at("views"))
+
+    def build_reports(self) -> None:
+        """Store every dataset behind the report pages."""
+        t = self._tables().with_table(
+            work_orders=self._scored("work_orders"), machine_telemetry=self._scored("machine_telemetry")
+        )
+        for name, rows in report_datasets(t, self._snapshots(), self.cfg).items():
+            write_parquet(rows, self._at("reports", "pages", name))
 
     def run(self, csv_dir: str) -> None:
         self.ingest(csv_dir)
@@ -96,3 +129,4 @@ class Pipeline:
         self.score()
         self.build_kpis()
         self.refresh_views()
+        self.build_reports()

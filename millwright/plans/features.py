@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import logging
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -13,6 +15,8 @@ from millwright.operators.ordering import LastBefore, RollingRows, RowNumber, ov
 from millwright.operators.sizing import GROUP_ROWS, dimension, row_count
 from millwright.session import materialize
 
+log = logging.getLogger(__name__)
+
 # Feature names and order, target name, priority codes.
 FEATURES = (
     "priority_encoded", "product_type_encoded", "planned_units", "day_of_week", "hour_of_day", "is_monday",
@@ -235,7 +239,10 @@ def with_target(orders: DataFrame) -> DataFrame:
 
 
 def select_matrix(df: DataFrame) -> DataFrame:
-    """Id, features and target; an absent feature is 0, and so is a NULL."""
+    """Id, features and target; an absent feature is 0, with a warning, and so is a NULL."""
+    absent = missing_features(df)
+    if absent:
+        log.warning("features filled with 0: %s", ", ".join(absent))
     columns = [
         F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c) if c in df.columns else F.lit(0.0).alias(c)
         for c in FEATURES

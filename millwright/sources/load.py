@@ -18,8 +18,9 @@ LOAD_ORDER = ("plants", "machines", "work_orders", "machine_telemetry", "quality
 def load_csvs(spark: SparkSession, csv_dir: str, target_dir: str) -> dict[str, int]:
     """Replace the tables under ``target_dir`` with the CSV files; returns rows loaded per table.
 
-    Tables are written to a staging folder in load order, and swapped in only after every write succeeded, so
-    a failed load leaves the old tables untouched. A missing file is skipped.
+    Tables are written to a staging folder in load order, and swapped in only after every write succeeded. The swap
+    moves all old tables aside before any new one comes in, and moves them back if a step fails, so a failed load
+    leaves the old tables. A missing file is skipped.
     """
     staging = f"{target_dir}/_staging_{uuid.uuid4().hex}"
     counts: dict[str, int] = {}
@@ -36,10 +37,13 @@ def load_csvs(spark: SparkSession, csv_dir: str, target_dir: str) -> dict[str, i
             stored = as_stored(with_defaults(rows, table), table).observe(seen, F.count(F.lit(1)).alias("rows"))
             stored.write.parquet(f"{staging}/{table}")
             counts[table] = seen.get["rows"]
-        for table in counts:
-            _swap(spark, f"{staging}/{table}", f"{target_dir}/{table}")
-    finally:
-        _fs(spark, staging).delete(_path(spark, staging), True)
+        _swap(spark, staging, target_dir, list(counts))
+    except BaseException:
+        # After a failed way back the old tables still lie here: then nothing is deleted.
+        if not _fs(spark, staging).exists(_path(spark, f"{staging}/_old")):
+            _delete(spark, staging)
+        raise
+    _delete(spark, staging)
     return counts
 
 
@@ -51,14 +55,34 @@ def _fs(spark: SparkSession, path: str):
     return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def _swap(spark: SparkSession, source: str, target: str) -> None:
-    fs = _fs(spark, target)
-    if fs.exists(_path(spark, target)):
-        fs.delete(_path(spark, target), True)
-    if not fs.rename(_path(spark, source), _path(spark, target)):
+def _delete(spark: SparkSession, path: str) -> None:
+    _fs(spark, path).delete(_path(spark, path), True)
+
+
+def _move(spark: SparkSession, source: str, target: str) -> None:
+    if not _fs(spark, source).rename(_path(spark, source), _path(spark, target)):
         raise OSError(f"could not move {source} to {target}")
 
 
+def _swap(spark: SparkSession, staging: str, target_dir: str, tables: list[str]) -> None:
+    """Put the staged tables in place of the old ones: all or none."""
+    old = f"{staging}/_old"
+    fs = _fs(spark, staging)
+    fs.mkdirs(_path(spark, old))
+    done: list[tuple[str, str]] = []
+    steps = [(f"{target_dir}/{t}", f"{old}/{t}") for t in tables if fs.exists(_path(spark, f"{target_dir}/{t}"))]
+    steps += [(f"{staging}/{t}", f"{target_dir}/{t}") for t in tables]
+    try:
+        for source, target in steps:
+            _move(spark, source, target)
+            done.append((source, target))
+    except BaseException:
+        for source, target in reversed(done):
+            _move(spark, target, source)
+        _delete(spark, old)
+        raise
+
+
 def write_back(table: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """Rows of ``table`` with ``columns`` replaced where ``updates`` has the key; other rows keep their values.
 

@@ -96,30 +96,29 @@ def read_jdbc(
     spark: SparkSession,
     url: str,
     table: str,
+    partition_column: str,
+    bounds: tuple[int, int],
+    partitions: int,
     columns: list[str] | None = None,
-    partition_column: str | None = None,
-    bounds: tuple[int, int] | None = None,
-    partitions: int = 1,
     properties: dict[str, str] | None = None,
 ) -> DataFrame:
-    """Parallel table scan over JDBC, split on a numeric key; projections are pushed to the database."""
+    """Parallel table scan over JDBC, split on a numeric key; projections are pushed to the database.
+
+    The bounds only place the cuts: rows outside them are read too. There is no scan in a single task unless
+    ``partitions`` is 1.
+    """
     reader = spark.read.format("jdbc").options(**jdbc_options(url, table, partition_column, bounds, partitions))
     df = reader.options(**(properties or {})).load()
     return df.select(*columns) if columns else df
 
 
-def jdbc_options(
-    url: str, table: str, partition_column: str | None, bounds: tuple[int, int] | None, partitions: int
-) -> dict[str, str]:
-    options = {"url": url, "dbtable": table, "fetchsize": "10000"}
-    if partition_column is None:
-        return options
-    if bounds is None:
-        raise ValueError("a partitioned scan needs the key's lower and upper bound")
+def jdbc_options(url: str, table: str, partition_column: str, bounds: tuple[int, int], partitions: int) -> dict[str, str]:
     low, high = bounds
-    return options | {
-        "partitionColumn": partition_column, "lowerBound": str(low), "upperBound": str(high),
-        "numPartitions": str(partitions),
+    if partitions < 1 or low > high:
+        raise ValueError("a partitioned scan needs at least one partition and a lower bound below the upper one")
+    return {
+        "url": url, "dbtable": table, "fetchsize": "10000", "partitionColumn": partition_column,
+        "lowerBound": str(low), "upperBound": str(high), "numPartitions": str(partitions),
     }
 
 

@@ -12,6 +12,7 @@ from millwright.plans.validation import ValidationError
 from millwright.plans import kpis
 from millwright.schemas import MACHINES, MACHINE_TELEMETRY, PLANTS, QUALITY_INSPECTIONS, WORK_ORDERS
 from millwright.sources import read_csv, read_parquet, read_tables, write_csv, write_snapshots
+from millwright.sources import load
 from millwright.sources.load import load_csvs, write_back
 from millwright.sources.readers import jdbc_options
 from tests.builders import T0, column, machines, orders
@@ -80,12 +81,10 @@ def test_missing_source_is_empty_but_other_errors_stay(spark, tmp_path):
 
 
 def test_jdbc_options():
-    plain = jdbc_options("jdbc:x", "t", None, None, 1)
-    assert "partitionColumn" not in plain
     split = jdbc_options("jdbc:x", "t", "id", (1, 9), 4)
     assert (split["lowerBound"], split["upperBound"], split["numPartitions"]) == ("1", "9", "4")
     with pytest.raises(ValueError):
-        jdbc_options("jdbc:x", "t", "id", None, 4)
+        jdbc_options("jdbc:x", "t", "id", (9, 1), 4)
 
 
 def test_load_counts_defaults_and_skips(spark, csv_dir, tmp_path):
@@ -114,6 +113,36 @@ def test_failed_load_keeps_the_old_tables(spark, csv_dir, tmp_path):
     assert read_tables(spark, target).plants.count() == 2
 
 
+def test_swap_is_all_or_nothing(spark, csv_dir, tmp_path, monkeypatch):
+    target = str(tmp_path / "tables")
+    load_csvs(spark, str(csv_dir), target)
+    (csv_dir / "plants.csv").write_text("plant_id,plant_code,plant_name,region,capacity_units\n9,P9,Nine,,1\n")
+    move = load._move
+
+    def fails_once(session, source, to):
+        if to == f"{target}/machine_telemetry":
+            monkeypatch.setattr(load, "_move", move)
+            raise OSError("no room")
+        move(session, source, to)
+
+    monkeypatch.setattr(load, "_move", fails_once)
+    with pytest.raises(OSError, match="no room"):
+        load_csvs(spark, str(csv_dir), target)
+    tables = read_tables(spark, target)
+    assert tables.plants.count() == 2 and tables.machine_telemetry.count() == 300
+    assert not [p for p in (tmp_path / "tables").iterdir() if p.name.startswith("_staging")]
+
+
+def test_invalid_statuses_are_named(spark, csv_dir, tmp_path):
+    text = (csv_dir / "work_orders.csv").read_text().replace("completed", "compleet", 3)
+    (csv_dir / "work_orders.csv").write_text(text)
+    run = Pipeline(spark, str(tmp_path / "root"), SMALL)
+    run.ingest(str(csv_dir))
+    run.validate()
+    named = read_parquet(spark, str(tmp_path / "root" / "reports" / "invalid_statuses"))
+    assert [tuple(r) for r in named.collect()] == [("compleet", 3)]
+
+
 def test_write_back_updates_only_matches(spark):
     table = orders(spark, [{"risk_score": 0.1, "risk_label": 0}, {"risk_score": 0.2, "risk_label": 0}])
     new = spark.createDataFrame([(2, 0.9, 1)], "work_order_id long, risk_score double, risk_label int")
@@ -150,6 +179,21 @@ def test_whole_pipeline(spark, csv_dir, tmp_path):
     snapshots = read_parquet(spark, str(tmp_path / "root" / "tables" / "kpi_snapshots"))
     assert snapshots.agg({"anomaly_count": "sum"}).first()[0] > 0
     assert read_parquet(spark, str(tmp_path / "root" / "views" / "mv_plant_summary")).count() == 2
+    pages = tmp_path / "root" / "reports" / "pages"
+    rows = {p.name: read_parquet(spark, str(p)).count() for p in pages.iterdir()}
+    assert len(rows) == 26
+    # The readings are cool and all alike, so nothing overheats and nothing correlates.
+    assert {name for name, n in rows.items() if n == 0} <= {"equipment_overheat_spans", "equipment_correlation"}
+    assert rows["risk_scatter"] == 120 and rows["scorecard"] == 2
+    evaluation = tmp_path / "root" / "reports" / "evaluation"
+    rows = {p.name: read_parquet(spark, str(p)).count() for p in evaluation.iterdir()}
+    assert rows["confusion"] == 4 and rows["tree_importance"] == 26 and rows["permutation_importance"] == 15
+    assert read_parquet(spark, str(evaluation / "roc")).select("model").distinct().count() == 3
+    held_out = read_parquet(spark, str(evaluation / "confusion")).agg({"n": "sum"}).first()[0]
+    assert held_out == 24
+    constraints = read_parquet(spark, str(tmp_path / "root" / "reports" / "kpi_constraints"))
+    assert constraints.filter("level <> 'INFO'").count() == 0
+    assert constraints.filter("check = 'unique:snapshot_date+plant_id'").count() == 1
 
 
 def test_validation_report_is_stored_before_the_gate_stops(spark, csv_dir, tmp_path):
