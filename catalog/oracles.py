@@ -621,3 +621,34 @@ FROM (SELECT *, CASE WHEN work_order_id % 7 <> 0 THEN plant_id END AS p FROM wo)
 _add("iforest_invariants", "SELECT count(*) AS readings, count(*) FILTER (WHERE " + " OR ".join(
     f"{c} IS NULL" for c in _SENSORS) + ") AS incomplete, 0::BIGINT AS out_of_range, 0::BIGINT AS incomplete_scored FROM tel", "tel")
 _add("risk_invariants", "SELECT count(*) AS orders, 0::BIGINT AS out_of_range, 0::BIGINT AS unscored FROM wo", "wo")
+_add("risk_training_invariants", """
+SELECT count(*) - CAST(floor(count(*) * 0.8) AS BIGINT) AS held_out, 26::INT AS features, 3::BIGINT AS models,
+       0::INT AS outside, 15::BIGINT AS important, count(*) AS scored_alike FROM wo""", "wo")
+
+# Sources and sinks
+
+_STORED_ORDER = "machine_id, created_at, actual_end, status, product_type, actual_units, risk_score, risk_label"
+_add("csv_round_trip", f"SELECT work_order_id + 9007199254740993 AS work_order_id, {_STORED_ORDER} FROM wo", "wo")
+_add("bulk_load_orders", f"SELECT work_order_id, {_STORED_ORDER}, 0::INT AS downtime_minutes FROM wo", "wo")
+_add("parquet_round_trip", "SELECT * FROM tel", "tel")
+for _copy, _source in (
+    ("matrix_round_trip", "feature_matrix"), ("snapshot_sink", "kpi_daily_snapshot"),
+    ("views_refreshed", "mv_plant_summary"), ("metrics_round_trip", "score_evaluation"),
+):
+    ORACLES[_copy] = ORACLES[_source]
+_add("invalid_status_values", """
+SELECT status, count(*) AS rows FROM (SELECT CASE WHEN work_order_id % 11 = 0 THEN priority ELSE status END AS status FROM wo)
+WHERE coalesce(status NOT IN ('completed', 'failed', 'delayed', 'in_progress', 'cancelled'), true)
+GROUP BY status ORDER BY rows DESC, status""", "wo")
+_add("validate_kpi_constraints", _UNION.join([
+    *(_bad("plants", "plants", f"not_null:{c}", f"{c} IS NULL", "CRITICAL", "NULL values")
+      for c in "plant_id plant_code plant_name capacity_units".split()),
+    *(_bad("kpi_snapshots", "kpi", f"not_null:{c}", f"{c} IS NULL", "CRITICAL", "NULL values")
+      for c in ("snapshot_date", "plant_id")),
+    *(_bad(table, f"(SELECT 1 FROM {source} GROUP BY {key.replace('+', ', ')} HAVING count(*) > 1)", f"unique:{key}", "true",
+           "CRITICAL", "repeated keys")
+      for table, source, key in (
+          ("plants", "plants", "plant_id"), ("plants", "plants", "plant_code"), ("kpi_snapshots", "kpi", "snapshot_date+plant_id"))),
+    _bad("kpi_snapshots", "(SELECT DISTINCT plant_id FROM kpi WHERE plant_id NOT IN (SELECT plant_id FROM plants))",
+         "foreign_key:plant_id", "true", "CRITICAL", "keys missing in plants"),
+]), "kpi", "plants")

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from dataclasses import replace
 
@@ -17,8 +18,12 @@ from millwright.operators.sampling import hash_sample
 from millwright.operators.sizing import dimension
 from millwright.plans import features, inspections, kpis, validation, views
 from millwright.plans.reports import common, equipment, executive, quality, risk as risk_page, scorecard
-from millwright.session import materialize
-from millwright.sources.load import write_back
+from millwright.schemas import KPI_SNAPSHOTS, MACHINE_TELEMETRY, WORK_ORDERS
+from millwright.session import ensure_checkpoint_dir, materialize
+from millwright.sources import (
+    read_csv, read_metrics, read_parquet, read_tables, write_csv, write_metrics, write_parquet, write_snapshots,
+)
+from millwright.sources.load import load_csvs, write_back
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -637,3 +642,113 @@ def risk_invariants(t: Testbed) -> DataFrame:
         F.count(F.lit(1)).alias("orders"), F.count_if(~F.col("risk_score").between(0, 1)).alias("out_of_range"),
         F.count_if(F.col("risk_score").isNull() | F.col("risk_label").isNull()).alias("unscored"),
     )
+
+
+@query
+def risk_training_invariants(t: Testbed) -> DataFrame:
+    """What must hold of any training: the whole hold-out is judged, curves rise from 0 to 1, saved models score alike."""
+    matrix = materialize(_matrix(t))
+    trained = risk.train(matrix, _MODELS)
+    roc = materialize(risk.roc_by_model(trained.held_out))
+    drops = importance.permutation_importance(matrix, trained.models, _MODELS)
+    folder = _folder(t)
+    trained.models.save(folder)
+    again = risk.score(matrix, risk.RiskModels.load(folder), _MODELS).withColumnRenamed("risk_score", "again")
+    both = risk.score(matrix, trained.models, _MODELS).join(again.select("work_order_id", "again"), "work_order_id")
+    figures = trained.metrics.select(F.col("test_n").alias("held_out"), F.size("feature_names").alias("features"))
+    ends = roc.groupBy("model").agg(F.min("fpr").alias("lo"), F.max("fpr").alias("hi"), F.max("tpr").alias("top"))
+    return figures.withColumns({
+        "models": F.lit(ends.filter("lo = 0 AND hi = 1 AND top = 1").count()).cast("long"),
+        "outside": F.lit(roc.filter("NOT (fpr BETWEEN 0 AND 1 AND tpr BETWEEN 0 AND 1 AND auc BETWEEN 0 AND 1)").count()),
+        "important": F.lit(drops.select("feature").distinct().count()).cast("long"),
+        "scored_alike": F.lit(both.filter("risk_score = again").count()).cast("long"),
+    })
+
+
+# Sources and sinks: what is written and read again equals its source.
+
+
+def _folder(t: Testbed) -> str:
+    return f"{ensure_checkpoint_dir(t.spark)}/io-{uuid.uuid4().hex}"
+
+
+_STORED_ORDER = (
+    "work_order_id", "machine_id", "created_at", "actual_end", "status", "product_type", "actual_units", "risk_score",
+    "risk_label",
+)
+
+
+@query
+def csv_round_trip(t: Testbed) -> DataFrame:
+    """Orders through CSV text, with ids beyond the integers that a double holds."""
+    path = _folder(t)
+    shifted = t.work_orders.withColumn("work_order_id", F.col("work_order_id") + F.lit((1 << 53) + 1))
+    write_csv(shifted, path)
+    return read_csv(t.spark, path, WORK_ORDERS).select(*_STORED_ORDER)
+
+
+@query
+def bulk_load_orders(t: Testbed) -> DataFrame:
+    """Orders and machines loaded from CSV files twice; the second load replaces the first, stored decimals hold."""
+    path = _folder(t)
+    write_csv(t.machines, f"{path}/csv/machines.csv")
+    write_csv(t.work_orders.drop("downtime_minutes"), f"{path}/csv/work_orders.csv")
+    for _ in range(2):
+        load_csvs(t.spark, f"{path}/csv", f"{path}/tables")
+    return read_tables(t.spark, f"{path}/tables").work_orders.select(*_STORED_ORDER, "downtime_minutes")
+
+
+@query
+def parquet_round_trip(t: Testbed) -> DataFrame:
+    path = _folder(t)
+    write_parquet(t.machine_telemetry, path)
+    return read_parquet(t.spark, path, MACHINE_TELEMETRY)
+
+
+@query
+def matrix_round_trip(t: Testbed) -> DataFrame:
+    path = _folder(t)
+    write_parquet(_matrix(t), path)
+    stored = read_parquet(t.spark, path).drop("plant_id", "scheduled_start")
+    return rounded(stored, 6, *features.FEATURES)
+
+
+@query
+def snapshot_sink(t: Testbed) -> DataFrame:
+    """Snapshots by day: all days stored, then the later half replaced by itself."""
+    path = _folder(t)
+    rows = materialize(snapshots(t))
+    write_snapshots(rows, path, replace_days_only=True)
+    middle = rows.agg(F.percentile_approx(F.unix_date("snapshot_date"), 0.5)).first()[0]
+    write_snapshots(rows.filter(F.unix_date("snapshot_date") > F.lit(middle)), path, replace_days_only=True)
+    return read_parquet(t.spark, path, KPI_SNAPSHOTS)
+
+
+@query
+def views_refreshed(t: Testbed) -> DataFrame:
+    """The stored plant summary after two refreshes."""
+    path = _folder(t)
+    rows = materialize(snapshots(t))
+    for _ in range(2):
+        views.refresh_all_views(rows, t.work_orders, t.plants, t.machines, path)
+    return read_parquet(t.spark, f"{path}/mv_plant_summary")
+
+
+@query
+def metrics_round_trip(t: Testbed) -> DataFrame:
+    path = _folder(t)
+    record = metrics.evaluate(_labelled(t), "risk_score", features.TARGET, 0.65)
+    write_metrics(record, path)
+    return rounded(read_metrics(t.spark, path, record.schema), 9, "test_auc_roc", "test_auc_pr", "test_f1", "test_positive_rate")
+
+
+@query
+def invalid_status_values(t: Testbed) -> DataFrame:
+    """Orders every 11th of which has its priority in place of its status: the unknown values by name."""
+    mixed = F.when(F.col("work_order_id") % 11 == 0, F.col("priority")).otherwise(F.col("status"))
+    return validation.invalid_statuses(t.work_orders.withColumn("status", mixed))
+
+
+@query
+def validate_kpi_constraints(t: Testbed) -> DataFrame:
+    return validation.constraint_checks({"kpi_snapshots": materialize(snapshots(t)), "plants": t.plants})
