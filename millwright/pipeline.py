@@ -17,7 +17,7 @@ from millwright.plans import features, kpis, validation, views
 from millwright.plans.reports import scorecard
 from millwright.plans.reports.stored import report_datasets
 from millwright.schemas import KPI_SNAPSHOTS
-from millwright.session import materialize
+from millwright.session import materialize, scratch
 from millwright.sources.load import load_csvs, write_back
 from millwright.sources.readers import read_parquet, read_tables
 from millwright.sources.writers import write_csv, write_metrics, write_parquet, write_snapshots
@@ -122,11 +122,11 @@ class Pipeline:
             write_parquet(rows, self._at("reports", "pages", name))
 
     def run(self, csv_dir: str) -> None:
-        self.ingest(csv_dir)
-        self.validate()
-        self.build_features()
-        self.train()
-        self.score()
-        self.build_kpis()
-        self.refresh_views()
-        self.build_reports()
+        """All stages; intermediate tables of a stage go when it has stored its results."""
+        stages = (
+            lambda: self.ingest(csv_dir), self.validate, self.build_features, self.train, self.score, self.build_kpis,
+            self.refresh_views, self.build_reports,
+        )
+        for stage in stages:
+            with scratch(self.spark):
+                stage()

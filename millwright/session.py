@@ -6,6 +6,8 @@ import atexit
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -18,6 +20,8 @@ DEFAULTS = {
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
+_written: list[str] = []
+
 
 def build_session(app: str = "millwright", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -59,5 +63,19 @@ def materialize(df: DataFrame) -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    _written.append(path)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete the tables that ``materialize`` wrote inside the block when it ends; results must be stored by then."""
+    before = len(_written)
+    try:
+        yield
+    finally:
+        for text in _written[before:]:
+            path = spark._jvm.org.apache.hadoop.fs.Path(text)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        del _written[before:]

@@ -3,6 +3,8 @@ from __future__ import annotations
 import csv
 from dataclasses import replace
 from datetime import timedelta
+from pathlib import Path
+from urllib.parse import urlparse
 
 import pytest
 
@@ -11,6 +13,7 @@ from millwright.pipeline import Pipeline
 from millwright.plans.validation import ValidationError
 from millwright.plans import kpis
 from millwright.schemas import MACHINES, MACHINE_TELEMETRY, PLANTS, QUALITY_INSPECTIONS, WORK_ORDERS
+from millwright.session import ensure_checkpoint_dir
 from millwright.sources import read_csv, read_parquet, read_tables, write_csv, write_snapshots
 from millwright.sources import load
 from millwright.sources.load import load_csvs, write_back
@@ -171,7 +174,10 @@ SMALL = replace(DEFAULT, models=ModelConfig(
 
 def test_whole_pipeline(spark, csv_dir, tmp_path):
     run = Pipeline(spark, str(tmp_path / "root"), SMALL)
+    store = Path(urlparse(ensure_checkpoint_dir(spark)).path)
+    before = set(store.iterdir())
     run.run(str(csv_dir))
+    assert not [p for p in set(store.iterdir()) - before if p.name.startswith("table-")]
     scored = read_parquet(spark, str(tmp_path / "root" / "scored" / "work_orders"))
     assert scored.count() == 120 and scored.filter("risk_score IS NULL").count() == 0
     flagged = read_parquet(spark, str(tmp_path / "root" / "scored" / "machine_telemetry"))
