@@ -1,8 +1,8 @@
 """Licence scans: TF-IDF cosine of lines to licence notices, then inheritance from the nearest ancestor directory.
 
 All steps are DataFrame operations. Notices are a fixed short list, so their weights are broadcast. Every line of
-every text is looked at; only those with an anchor word are taken apart into words, as a line without one shares too
-little with any notice.
+every text is looked at; only those with an anchor word are taken apart into words. Anchors are worked out from the
+notices so that a line without one cannot reach the threshold.
 """
 
 from __future__ import annotations
@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from millwright.llm.words import fields, whole_row
 from millwright.session import materialize
 
-#: Notices by licence, a word that every notice has one of, and names of licence files.
+#: Notices by licence, and names of licence files.
 NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0",
     "MIT": "Released under the MIT License",
@@ -35,7 +35,6 @@ NOTICES = {
     "CC0-1.0": "Dedicated to the public domain under CC0 1.0",
     "Proprietary": "All rights reserved",
 }
-ANCHORS = ("license", "licensed", "licence", "licenced", "permission", "redistribution", "domain", "rights")
 LICENSE_FILE = r"(?i)(^|/)(license|licence|copying|unlicense)(\.[a-z]+)?$"
 
 THRESHOLD = 0.8
@@ -57,6 +56,26 @@ def weights(notices: dict[str, str]) -> tuple[dict[str, float], float, dict[str,
     return idf, math.log(1 + len(notices)) + 1, vectors
 
 
+def anchors(vectors: dict[str, dict[str, float]], threshold: float) -> list[str]:
+    """Words of which every line that reaches the threshold has at least one.
+
+    Words of a notice are taken until its unit vector is shorter than the threshold without them: a line that shares
+    only the others cannot come closer than that length. Words taken before come first, then long ones, which other
+    texts have less often.
+    """
+    if threshold <= 0:
+        raise ValueError("the threshold must be positive")
+    taken: set[str] = set()
+    for vector in vectors.values():
+        left = 1.0
+        for word in sorted(vector, key=lambda w: (w not in taken, -len(w), w)):
+            if left < (threshold - 1e-6) ** 2:
+                break
+            left -= vector[word] ** 2
+            taken.add(word)
+    return sorted(taken)
+
+
 def matching_lines(lines: DataFrame, notices: dict[str, str], threshold: float) -> DataFrame:
     """(row, pos, license, score) of lines (row, pos, line): the notice with the largest cosine, ties by name."""
     idf, other, vectors = weights(notices)
@@ -65,7 +84,7 @@ def matching_lines(lines: DataFrame, notices: dict[str, str], threshold: float)
         [(w, name, x, idf[w]) for name, v in vectors.items() for w, x in v.items()], "word string, license string, x double, idf double"
     )
     split = F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "")
-    anchored = lines.where(F.lower("line").rlike("|".join(ANCHORS)))
+    anchored = lines.where(F.lower("line").rlike(f"(?<![a-z0-9])(?:{'|'.join(anchors(vectors, threshold))})(?![a-z0-9])"))
     words = anchored.select("row", "pos", F.explode(split).alias("word")).groupBy("row", "pos", "word").agg(F.count(F.lit(1)).alias("n"))
     known = F.broadcast(table.groupBy("word").agg(F.first("idf").alias("idf"), F.collect_list(F.struct("license", "x")).alias("in")))
     weighed = words.join(known, "word", "left").withColumn("w", F.col("n") * F.coalesce("idf", F.lit(other)))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -28,6 +29,20 @@ def test_lines_equal_brute_force(spark):
     assert all(abs(found[i][1] - slow_best(lines[i])[1]) < 1e-8 for i in found)
 
 
+def test_mangled_notices_equal_brute_force(spark):
+    rng = random.Random(5)
+    lines = []
+    for text in licenses.NOTICES.values():
+        for _ in range(60):
+            words = licenses._words(text)
+            for _ in range(rng.randrange(1, 4)):
+                words.pop(rng.randrange(len(words))) if len(words) > 1 else None
+            lines.append(" ".join([*words, *rng.choices(["the", "project", "license", "rights"], k=rng.randrange(3))]))
+    df = spark.createDataFrame([(i, 0, x) for i, x in enumerate(lines)], "row long, pos int, line string")
+    found = {r.row: r.license for r in licenses.matching_lines(df, licenses.NOTICES, licenses.THRESHOLD).collect()}
+    assert found == {i: b[0] for i, x in enumerate(lines) if (b := slow_best(x))}
+
+
 def test_inheritance(spark):
     mit, gpl = licenses.NOTICES["MIT"], licenses.NOTICES["GPL-3.0"]
     rows = [("LICENSE", mit), ("a/x.py", "code"), ("a/b/COPYING", f"some words\n{gpl}\nmore"), ("a/b/c/y.py", "code"), ("a/b/z.py", f"# {mit}\ncode"),
