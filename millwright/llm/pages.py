@@ -174,7 +174,7 @@ def template_tokens(tokens: DataFrame) -> DataFrame:
     return each.where("not container").join(valid, ["host", "vector", "pages"], "left_semi").select("host", "token")
 
 
-def main_text(pages: DataFrame) -> DataFrame:
+def main_text(pages: DataFrame, broadcast_tokens: int = BROADCAST_TOKENS) -> DataFrame:
     """page_id, url and text of every row of ``pages`` (page_id, url, html; other columns are ignored).
 
     If a page has an article or main part, only its blocks count, else all blocks outside furniture. Template text of
@@ -183,20 +183,21 @@ def main_text(pages: DataFrame) -> DataFrame:
     empty.
 
     Pages are read twice, for their tokens and for their blocks, so that no text is stored or shuffled on the way. The
-    templates are broadcast if they have at most BROADCAST_TOKENS tokens in all, which is counted; beyond that they
-    meet the pages in a shuffle join on the host, whose hot hosts adaptive execution splits.
+    templates are broadcast if they have at most ``broadcast_tokens`` tokens in all, which is counted; beyond that each
+    page gets only those of its own tokens that are in its host's template, so no template is ever gathered.
     """
     host = F.coalesce(F.lower(F.regexp_extract("url", r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1)), F.lit(""))
-    named = pages.select("page_id", "url", host.alias("host"), "html")
+    named = pages.select("page_id", "url", host.alias("host"), F.xxhash64("html").alias("page"), "html")
     found = F.explode(_read(page_tokens, "token: long, n: int, container: boolean")).alias("t")
-    tokens = named.select("host", F.xxhash64("html").alias("page"), found).select("host", "page", "t.*")
-    template = materialize(template_tokens(materialize(tokens)))
-    by_host = materialize(template.groupBy("host").agg(F.collect_set("token").alias("template")))
-    if fits(template, BROADCAST_TOKENS):
-        by_host = F.broadcast(by_host)
+    tokens = materialize(named.select("host", "page", found).select("host", "page", "t.*"))
+    template = materialize(template_tokens(tokens))
+    if fits(template, broadcast_tokens):
+        joined = named.join(F.broadcast(template.groupBy("host").agg(F.collect_set("token").alias("template"))), "host", "left")
+    else:
+        own = tokens.where("not container").join(template, ["host", "token"], "left_semi")
+        joined = named.join(own.groupBy("host", "page").agg(F.collect_set("token").alias("template")), ["host", "page"], "left")
     known = F.coalesce("template", F.array().cast("array<long>"))
     some = F.exists("blocks", lambda b: b["inside"])
     kept = F.filter("blocks", lambda b: (b["inside"] | ~some) & ~F.array_contains(known, b["token"]))
     blocks = _read(page_blocks, "token: long, text: string, inside: boolean").alias("blocks")
-    joined = named.join(by_host, "host", "left").select("page_id", "url", "template", blocks)
-    return joined.select("page_id", "url", F.concat_ws("\n", F.transform(kept, lambda b: b["text"])).alias("text"))
+    return joined.select("page_id", "url", "template", blocks).select("page_id", "url", F.concat_ws("\n", F.transform(kept, lambda b: b["text"])).alias("text"))

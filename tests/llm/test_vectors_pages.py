@@ -84,3 +84,13 @@ def test_copies_of_a_page_make_no_template(spark):
     rows = [(i, f"https://h.example/{i}", PAGE.format(i=1)) for i in range(20)]
     found = pages.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.text for r in found} == {"Title 1\nFirst & bold1 line here\nSecond <1> paragraph\nRead more on this site"}
+
+
+@pytest.mark.parametrize("broadcast_tokens", [0, 100])
+def test_template_goes_by_either_join(spark, broadcast_tokens):
+    page = "<article><h1>Title {i}</h1><p>Own words {i}</p><p>Read more on this site</p></article>"
+    rows = [(i, "https://h.example/x", page.format(i=i)) for i in range(12)] + [(20, "https://other.example", page.format(i=20))]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = {r.page_id: r.text for r in pages.main_text(df, broadcast_tokens).collect()}
+    assert {i: found[i] for i in range(12)} == {i: f"Title {i}\nOwn words {i}" for i in range(12)}
+    assert found[20] == "Title 20\nOwn words 20\nRead more on this site"
