@@ -26,6 +26,8 @@ from millwright.session import materialize
 WINDOW = 1024
 END_ID = 0
 SHARD_TOKENS = 2_000_000
+#: What a document counts in a shard besides its tokens: it bounds the documents that a query of the index looks at.
+DOCUMENT_COST = 128
 QUERY_TERMS = 24
 K1, B = 1.2, 0.75
 PIECES = (
@@ -111,7 +113,8 @@ def _wide(data: bytes) -> np.ndarray:
 class Bm25:
     """Inverted index of one shard over token ids. Weights are final, so a query adds up postings.
 
-    A shard holds about ``SHARD_TOKENS`` tokens, or one document if that is longer.
+    A shard holds about ``SHARD_TOKENS`` tokens, or one document if that is longer, and at most
+    2 * ``SHARD_TOKENS`` / ``DOCUMENT_COST`` documents, however short.
     """
 
     def __init__(self, docs: list[np.ndarray]):
@@ -182,7 +185,7 @@ def pack_order(docs: list[np.ndarray], window: int = WINDOW) -> Iterator[int]:
         seed = following if following < len(docs) else None
 
 
-def _pack(window: int):
+def _pack(window: int, shard_tokens: int):
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
@@ -208,8 +211,8 @@ def _pack(window: int):
         for batch in batches:
             for doc_id, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 ids.append(doc_id), docs.append(_wide(data))
-                held += len(docs[-1])
-                if held >= 2 * SHARD_TOKENS:  # an uneven range: another index, which goes on in the open window
+                held += len(docs[-1]) + DOCUMENT_COST
+                if held >= 2 * shard_tokens:  # an uneven range: another index, which goes on in the open window
                     yield packed()
                     held = 0
         if docs:
@@ -218,7 +221,7 @@ def _pack(window: int):
     return pack
 
 
-def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset.
 
     Every row of ``docs`` is packed whole; a null or empty text is the end id alone. Repeated rows and null ids are
@@ -227,8 +230,8 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW) -> DataFrame:
     """
     token = tokenised(F.col("text"), tokenizer).alias("t")
     stored = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), token).select("doc_id", "t.*"))
-    total = stored.agg(F.sum("n")).first()[0] or 0
-    shards = max(1, -(-total // SHARD_TOKENS))
+    total = stored.agg(F.sum(F.col("n") + DOCUMENT_COST)).first()[0] or 0
+    shards = max(1, -(-total // shard_tokens))
     near = stored.repartitionByRange(shards, "locality", F.xxhash64("doc_id", "n"), "doc_id")
     ordered = near.sortWithinPartitions("locality", F.xxhash64("doc_id", "n"), "doc_id", "ids")
-    return ordered.select("doc_id", "ids").mapInArrow(_pack(window), PIECES)
+    return ordered.select("doc_id", "ids").mapInArrow(_pack(window, shard_tokens), PIECES)

@@ -334,3 +334,14 @@ def test_line_dedup_query_equals_sql(spark):
     want = sorted(con.execute(ORACLES["op2_line_dedup"]).fetchall())
     got = QUERIES["op2_line_dedup"](spark, "/root/testdata/sf0.001").select("doc_id", "n_lines", "n_dropped", "kept_sha256")
     assert sorted(map(tuple, got.collect())) == want
+
+
+def test_many_short_documents_are_packed_in_bounded_indexes(spark):
+    docs = spark.range(3000).selectExpr("id AS doc_id", "if(id % 3 = 0, 'a b', '') AS text")
+    pieces = packing.pack(docs, TOKENIZER, shard_tokens=40_000).collect()
+    assert sorted(p.doc_id for p in pieces if p.start == 0) == list(range(3000))
+    windows = {}
+    for p in pieces:
+        windows[p.sequence_id] = windows.get(p.sequence_id, 0) + p.length
+    shards = -(-sum(p.doc_tokens + packing.DOCUMENT_COST for p in pieces if p.start == 0) // 40_000)
+    assert sum(n < 1024 for n in windows.values()) <= shards
