@@ -1,8 +1,8 @@
 """Licence scans: TF-IDF cosine of lines to licence notices, then inheritance from the nearest ancestor directory.
 
 All steps are DataFrame operations. Notices are a fixed short list, so their weights are broadcast. Every line of
-every text is looked at; only those with an anchor word are taken apart into words. Anchors are worked out from the
-notices so that a line without one cannot reach the threshold.
+every text is looked at. Two exact bounds, worked out from the notices, come before lines are exploded into words: a
+line needs an anchor word, and the words it shares with a notice must make up enough of that notice.
 """
 
 from __future__ import annotations
@@ -10,6 +10,8 @@ from __future__ import annotations
 import math
 import re
 from collections import Counter
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -76,6 +78,23 @@ def anchors(vectors: dict[str, dict[str, float]], threshold: float) -> list[str]
     return sorted(taken)
 
 
+def _split(line: Column) -> Column:
+    return F.filter(F.split(F.lower(line), "[^a-z0-9]+"), lambda w: w != "")
+
+
+def _shares_enough(line: Column, vectors: dict[str, dict[str, float]], threshold: float) -> Column:
+    """Whether the notice's words that stand in the line can reach the threshold: no cosine exceeds their length."""
+    least = (threshold - 1e-6) ** 2
+    vocabulary = F.array(*[F.lit(w) for w in sorted({w for v in vectors.values() for w in v})])
+
+    def enough(known: Column) -> Column:
+        lengths = [sum(F.when(F.array_contains(known, w), x * x).otherwise(0.0) for w, x in v.items()) for v in vectors.values()]
+        return reduce(or_, [length >= least for length in lengths])
+
+    # Inside one function, so that the shared words are found once for each line.
+    return F.exists(F.array(F.array_intersect(vocabulary, _split(line))), enough)
+
+
 def matching_lines(lines: DataFrame, notices: dict[str, str], threshold: float) -> DataFrame:
     """(row, pos, license, score) of lines (row, pos, line): the notice with the largest cosine, ties by name."""
     idf, other, vectors = weights(notices)
@@ -83,9 +102,10 @@ def matching_lines(lines: DataFrame, notices: dict[str, str], threshold: float)
     table = spark.createDataFrame(
         [(w, name, x, idf[w]) for name, v in vectors.items() for w, x in v.items()], "word string, license string, x double, idf double"
     )
-    split = F.filter(F.split(F.lower("line"), "[^a-z0-9]+"), lambda w: w != "")
-    anchored = lines.where(F.lower("line").rlike(f"(?<![a-z0-9])(?:{'|'.join(anchors(vectors, threshold))})(?![a-z0-9])"))
-    words = anchored.select("row", "pos", F.explode(split).alias("word")).groupBy("row", "pos", "word").agg(F.count(F.lit(1)).alias("n"))
+    line = F.col("line")
+    anchored = lines.where(F.lower(line).rlike(f"(?<![a-z0-9])(?:{'|'.join(anchors(vectors, threshold))})(?![a-z0-9])"))
+    close = anchored.where(_shares_enough(line, vectors, threshold))
+    words = close.select("row", "pos", F.explode(_split(line)).alias("word")).groupBy("row", "pos", "word").agg(F.count(F.lit(1)).alias("n"))
     known = F.broadcast(table.groupBy("word").agg(F.first("idf").alias("idf"), F.collect_list(F.struct("license", "x")).alias("in")))
     weighed = words.join(known, "word", "left").withColumn("w", F.col("n") * F.coalesce("idf", F.lit(other)))
     # Per line: one number for its length and one for each notice, so no row is made per pair.
