@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 DIMENSION_ROWS = 100_000
 SINGLE_TASK_ROWS = 1_000_000
-GROUP_ROWS = 5_000_000
+GROUP_ROWS = 1_000_000
 
 
 _counted: WeakKeyDictionary[DataFrame, int] = WeakKeyDictionary()
