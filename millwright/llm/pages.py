@@ -61,12 +61,22 @@ _HIDDEN = re.compile(r"""(?:^|\s)hidden(?:\s|=|/|$)|aria-hidden\s*=\s*["']?true|
 _SPLIT = re.compile(r"[^a-z0-9]+")
 
 
-def _kind(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
-    """Name of a container in paths, and whether it is furniture. ``inside``: it stands in an article or main part."""
+#: How a container is furniture: not, by its role or names, by its element, or unseen.
+_PLAIN, _NAMED, _ELEMENT, _UNSEEN = range(4)
+
+
+def _furniture_names(names: str, inside: bool) -> bool:
+    """Whether a class or id is a furniture word, or made of such words only: cookie-notice, but not related-work."""
+    known = _WORDS if inside else _WORDS | _OUTER
+    return any((parts := {x for x in _SPLIT.split(name) if x}) and parts <= known for name in names.split())
+
+
+def _kind(tag: str, attributes: str, inside: bool) -> tuple[str, int]:
+    """Name of a container in paths, and how it is furniture. ``inside``: it stands in an article or main part."""
     if tag in _FURNITURE or (tag == "header" and not inside):
-        return tag, True
+        return tag, _UNSEEN if _HIDDEN.search(attributes) else _ELEMENT
     if not attributes or attributes.isspace():
-        return tag, False
+        return tag, _PLAIN
     names, role = "", ""
     for key, a, b, c in _ATTRIBUTE.findall(attributes):
         key = key.lower()
@@ -76,27 +86,32 @@ def _kind(tag: str, attributes: str, inside: bool) -> tuple[str, bool]:
             role = (a or b or c).lower()
     name = f"{tag}.{'.'.join(names.split())}" if names else tag
     if tag in ("html", "body", "article", "main"):
-        return name, False
-    words = set(_SPLIT.split(names))
-    bad = role in _ROLES or bool(words & _WORDS) or (not inside and bool(words & _OUTER)) or bool(_HIDDEN.search(attributes))
-    return name, bad
+        return name, _PLAIN
+    if _HIDDEN.search(attributes):
+        return name, _UNSEEN
+    return name, _NAMED if role in _ROLES or _furniture_names(names, inside) else _PLAIN
 
 
 def read_page(source: str) -> tuple[list[str], list[tuple[str, str, bool]]]:
     """Paths of all containers, and the blocks outside furniture: path, text, and whether in an article or main part.
 
     White space inside a block is one space; references are decoded. Elements left open or closed twice are borne.
+
+    Furniture passes to what it holds, but not to a main part, nor to an article that the page has in no better place:
+    an article in a container with furniture names counts if the page has text in no other article, one in an aside
+    or the like if the page has no other article or main part with text.
     """
-    paths, blocks, words = [], [], []
-    # Open containers: tag, path, furniture (its own or inherited), inside an article or main part.
-    stack = [("", "", False, False)]
+    paths, found_blocks, words = [], [], []
+    # Open containers: tag, path, furniture (its own or inherited), inside an article or main part, inside an
+    # article, and the furniture that the article stands in.
+    stack = [("", "", _PLAIN, False, False, _PLAIN)]
 
     def flush() -> None:
         if words:
             if not stack[-1][2]:
                 text = " ".join(html.unescape("".join(words)).split())
                 if text:
-                    blocks.append((stack[-1][1], text, stack[-1][3]))
+                    found_blocks.append((stack[-1][1], text, *stack[-1][3:]))
             words.clear()
 
     at = 0
@@ -124,15 +139,22 @@ def read_page(source: str) -> tuple[list[str], list[tuple[str, str, bool]]]:
             continue
         if tag == "body":
             del stack[1:]
-        _, path, bad, inside = stack[-1]
+        _, path, bad, inside, in_article, within = stack[-1]
         name, furniture = _kind(tag, found[4], inside)
         path = f"{path}/{name}"
         paths.append(path)
-        stack.append((tag, path, bad or furniture, inside or tag in ("article", "main")))
+        if bad != _UNSEEN and not in_article:
+            if tag == "article":
+                bad, within = _PLAIN, bad
+            elif tag == "main":
+                bad = _PLAIN
+        stack.append((tag, path, max(bad, furniture), inside or tag in ("article", "main"), in_article or tag == "article", within))
     if at < len(source):
         words.append(source[at:])
     flush()
-    return paths, blocks
+    clean = [b for b in found_blocks if b[4] == _PLAIN]
+    counts = {_PLAIN: True, _NAMED: not any(b[3] for b in clean), _ELEMENT: not any(b[2] for b in clean)}
+    return paths, [(path, text, inside) for path, text, inside, _, within in found_blocks if counts[within]]
 
 
 def _token(*parts: str) -> int:

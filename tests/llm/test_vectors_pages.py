@@ -94,3 +94,19 @@ def test_template_goes_by_either_join(spark, broadcast_tokens):
     found = {r.page_id: r.text for r in pages.main_text(df, broadcast_tokens).collect()}
     assert {i: found[i] for i in range(12)} == {i: f"Title {i}\nOwn words {i}" for i in range(12)}
     assert found[20] == "Title 20\nOwn words 20\nRead more on this site"
+
+
+@pytest.mark.parametrize("source, want", [
+    ('<div class="layout has-sidebar"><p>Out</p><article><p>Text</p></article></div>', ["Text"]),
+    ('<div id="page" class="no-comments"><article><p>Text</p></article></div>', ["Text"]),
+    ('<div class="sidebar"><article><p>Text</p></article></div>', ["Text"]),
+    ('<form><main><p>Text</p><form><p>Sign up</p></form></main></form>', ["Text"]),
+    ('<article><section id="related-work"><p>Text</p></section><div class="notice-of-results"><p>More</p></div></article>', ["Text", "More"]),
+    ('<main><h1>Top</h1><div class="banner"><article><p>Text</p></article></div></main>', ["Top", "Text"]),
+    ('<article><p>Text</p><div class="comments"><article><p>Nice</p></article></div></article>', ["Text"]),
+    ('<article><p>Text</p></article><div class="related"><article><p>Teaser</p></article></div>', ["Text"]),
+    ('<main><p>Text</p></main><aside><article><p>Teaser</p></article></aside>', ["Text"]),
+    ('<article><p>Text</p><div id="cookie-notice">Cookies</div></article><div hidden><article>Unseen</article></div>', ["Text"]),
+])
+def test_furniture_does_not_take_the_article(source, want):
+    assert [text for _, text, inside in pages.read_page(source)[1] if inside] == want
