@@ -13,10 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.llm.line_dedup import dedup_lines
-from millwright.llm.near_text import drop_near_copies
 from millwright.llm.packing import pack
 from millwright.llm.pii import fit_tagger, mask_pii
 from millwright.llm.quality import fit_quality, judge
+from millwright.llm.simhash import drop_near_duplicates
 from millwright.session import ensure_checkpoint_dir, scratch
 
 
@@ -38,8 +38,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked by five-word shingles with a Jaccard similarity of 0.8 or more."""
-    return drop_near_copies(docs)
+    """One document of each group linked by fingerprints of three-word shingles that differ in at most two bits."""
+    return drop_near_duplicates(docs, size=3, radius=2)
 
 
 def pii(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
