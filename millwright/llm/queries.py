@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millwright.llm.bpe import round_trip
 from millwright.llm.curves import nearest
+from millwright.llm.hard_negatives import hard_negatives
 from millwright.llm.licenses import scan_licenses
 from millwright.llm.line_dedup import dedup_lines
 from millwright.llm.packing import pack
@@ -95,9 +96,16 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(_table(spark, sf_dir, "documents"), TOKENIZER)
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Anchors are every hundredth id; every seventh id first moves to the next of ten labels."""
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, moved)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_line_dedup, op3_sharding, op4_quality, op5_licenses, op6_pii, op7_nearest, op8_bpe, op9_pages, op10_packing,
+        op11_hard_negatives,
     )
 }
