@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 import public_tokenizers
@@ -17,6 +18,7 @@ from millwright.llm.packing import pack
 from millwright.llm.pages import main_text
 from millwright.llm.pii import KINDS, find_pii, fit_tagger
 from millwright.llm.quality import fit_quality, judge
+from millwright.llm.runs import periodic_runs
 from millwright.llm.sharding import balanced_shards
 from millwright.llm.simhash import near_duplicates
 
@@ -102,10 +104,37 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0, moved)
 
 
+def _repeated_tail(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """Every tenth id by its checksum gets a tail that repeats a few of its words; a null id never does."""
+    checksum = zlib.crc32(str(doc_id).encode())
+    if doc_id is None or checksum % 10 or not words:
+        return words
+    g, n = checksum // 10, len(words)
+    start = g % n
+    period = 1 + (n - start) // (3 + g % 8)
+    unit = words[start : start + period]
+    return words[:start] + (unit * (1 + (n - start) // period))[: n - start]
+
+
+def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs(_table(spark, sf_dir, "documents"), prepare=_repeated_tail)
+    # A run is better if its length times the other's period is greater: exact, without a quotient.
+    better = lambda a, b: F.when(
+        a.isNull() | (b["length"] * a["period"] > a["length"] * b["period"]), b
+    ).otherwise(a)
+    none = F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>")
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *[r[k].cast("string") for k in ("start", "length", "period")]), F.lit("\n")))
+    return found.select("doc_id", "runs", "collapsed", F.aggregate("runs", none, better).alias("best")).select(
+        "doc_id", F.size("runs").cast("long").alias("n_runs"), "best.start", "best.length", "best.period",
+        F.floor(F.expr("1000 * best.length div best.period")).cast("long").alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_line_dedup, op3_sharding, op4_quality, op5_licenses, op6_pii, op7_nearest, op8_bpe, op9_pages, op10_packing,
-        op11_hard_negatives,
+        op11_hard_negatives, op12_runs,
     )
 }
