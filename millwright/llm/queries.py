@@ -21,6 +21,7 @@ from millwright.llm.quality import fit_quality, judge
 from millwright.llm.runs import periodic_runs
 from millwright.llm.sharding import balanced_shards
 from millwright.llm.simhash import near_duplicates
+from millwright.llm.substrings import remove_repeats
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
@@ -131,10 +132,18 @@ def op12_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes in strings of 100 bytes that start earlier go."""
+    kept = remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_simhash, op2_line_dedup, op3_sharding, op4_quality, op5_licenses, op6_pii, op7_nearest, op8_bpe, op9_pages, op10_packing,
-        op11_hard_negatives, op12_runs,
+        op11_hard_negatives, op12_runs, op13_substrings,
     )
 }
