@@ -621,6 +621,8 @@ FROM (SELECT *, CASE WHEN work_order_id % 7 <> 0 THEN plant_id END AS p FROM wo)
 _add("iforest_invariants", "SELECT count(*) AS readings, count(*) FILTER (WHERE " + " OR ".join(
     f"{c} IS NULL" for c in _SENSORS) + ") AS incomplete, 0::BIGINT AS out_of_range, 0::BIGINT AS incomplete_scored FROM tel", "tel")
 _add("risk_invariants", "SELECT count(*) AS orders, 0::BIGINT AS out_of_range, 0::BIGINT AS unscored FROM wo", "wo")
+_add("attribution_invariants", """
+SELECT count(*) AS orders, count(*) AS explained, 400::INT AS rounds_a, 400::INT AS rounds_b, 0::INT AS over_the_bound FROM wo""", "wo")
 _add("risk_training_invariants", """
 SELECT count(*) - CAST(floor(count(*) * 0.8) AS BIGINT) AS held_out, 26::INT AS features, 3::BIGINT AS models,
        0::INT AS outside, 15::BIGINT AS important, count(*) AS scored_alike FROM wo""", "wo")

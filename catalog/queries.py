@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Callable
-from dataclasses import replace
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +11,7 @@ from pyspark.sql import functions as F
 from catalog.testbed import Testbed
 from millwright.config import DEFAULT, FeatureConfig
 from millwright.functions import half_even
-from millwright.ml import anomaly, importance, metrics, risk, split
+from millwright.ml import anomaly, attribution, importance, metrics, risk, split
 from millwright.operators.ordering import running_sums
 from millwright.operators.sampling import hash_sample
 from millwright.operators.sizing import dimension
@@ -571,15 +570,7 @@ def features_schedule_blocks(t: Testbed) -> DataFrame:
     return features.schedule_features(some, max_group_rows=0).select("work_order_id", "queue_depth")
 
 
-# Models: whole tables and the parameters of the library, but for the boosting rounds: each model and fold pays for every
-# round, and the full 400 would take minutes.
-
-QUERY_ROUNDS = 5
-_MODELS = replace(DEFAULT, models=replace(
-    DEFAULT.models,
-    boost_a=replace(DEFAULT.models.boost_a, n_estimators=QUERY_ROUNDS),
-    boost_b=replace(DEFAULT.models.boost_b, n_estimators=QUERY_ROUNDS),
-))
+# Models: whole tables and the parameters of the library.
 
 
 def _matrix(t: Testbed) -> DataFrame:
@@ -588,41 +579,63 @@ def _matrix(t: Testbed) -> DataFrame:
 
 @query
 def iforest_score(t: Testbed) -> DataFrame:
-    forest = anomaly.fit(t.machine_telemetry, _MODELS)
-    return anomaly.score(t.machine_telemetry, forest, _MODELS).select("telemetry_id", "anomaly_score", "anomaly_flag")
+    forest = anomaly.fit(t.machine_telemetry, DEFAULT)
+    return anomaly.score(t.machine_telemetry, forest, DEFAULT).select("telemetry_id", "anomaly_score", "anomaly_flag")
 
 
 @query
 def iforest_contamination(t: Testbed) -> DataFrame:
-    forest = anomaly.fit(t.machine_telemetry, _MODELS)
-    out = anomaly.score(t.machine_telemetry, forest, _MODELS, mode="contamination")
+    forest = anomaly.fit(t.machine_telemetry, DEFAULT)
+    out = anomaly.score(t.machine_telemetry, forest, DEFAULT, mode="contamination")
     return out.select("telemetry_id", "anomaly_score", "anomaly_flag")
 
 
 @query
 def risk_score(t: Testbed) -> DataFrame:
     matrix = _matrix(t)
-    models = risk.fit(risk.vectorize(split.holdout(matrix, 0.8)).filter("in_train"), _MODELS)
-    return risk.score(matrix, models, _MODELS)
+    models = risk.fit(risk.vectorize(split.holdout(matrix, 0.8)).filter("in_train"), DEFAULT)
+    return risk.score(matrix, models, DEFAULT)
 
 
 @query
 def risk_model_metrics(t: Testbed) -> DataFrame:
-    return scorecard.metrics_table(risk.train(_matrix(t), _MODELS).metrics)
+    return scorecard.metrics_table(risk.train(_matrix(t), DEFAULT).metrics)
 
 
 @query
 def feature_importance(t: Testbed) -> DataFrame:
     matrix = materialize(_matrix(t))
-    models = risk.fit(risk.vectorize(matrix), _MODELS)
-    return importance.permutation_importance(matrix, models, _MODELS)
+    models = risk.fit(risk.vectorize(matrix), DEFAULT)
+    return importance.permutation_importance(matrix, models, DEFAULT)
+
+
+@query
+def feature_attribution(t: Testbed) -> DataFrame:
+    """Features of greatest mean absolute attribution in the first model."""
+    matrix = materialize(_matrix(t))
+    return attribution.attribution_summary(matrix, risk.fit(risk.vectorize(matrix)).a)
+
+
+@query
+def attribution_invariants(t: Testbed) -> DataFrame:
+    """What must hold of any fit: all rounds grown, leaves within the bound, and attributions that add up to each margin."""
+    matrix = materialize(_matrix(t))
+    models = risk.fit(risk.vectorize(matrix))
+    found = attribution.attributions(matrix, models.a)
+    total = F.aggregate(F.array(*features.FEATURES), F.col("expected"), lambda a, x: a + x)
+    leaves = [sum(1 for _ in attribution.leaf_paths(tree)) for tree in models.b.trees]
+    return found.agg(
+        F.count(F.lit(1)).alias("orders"), F.count_if(F.abs(total - F.col("margin")) <= 1e-9).alias("explained"),
+        F.lit(len(models.a.trees)).alias("rounds_a"), F.lit(len(models.b.trees)).alias("rounds_b"),
+        F.lit(sum(n > 63 for n in leaves)).alias("over_the_bound"),
+    )
 
 
 @query
 def iforest_invariants(t: Testbed) -> DataFrame:
     """What must hold of any forest's scores: all readings scored, in [-1, 0], incomplete ones 0 and not flagged."""
     readings = t.machine_telemetry
-    scored = anomaly.score(readings, anomaly.fit(readings, _MODELS), _MODELS)
+    scored = anomaly.score(readings, anomaly.fit(readings, DEFAULT), DEFAULT)
     complete = F.lit(True)
     for sensor in anomaly.SENSORS:
         complete = complete & F.col(sensor).isNotNull()
@@ -648,13 +661,13 @@ def risk_invariants(t: Testbed) -> DataFrame:
 def risk_training_invariants(t: Testbed) -> DataFrame:
     """What must hold of any training: the whole hold-out is judged, curves rise from 0 to 1, saved models score alike."""
     matrix = materialize(_matrix(t))
-    trained = risk.train(matrix, _MODELS)
+    trained = risk.train(matrix, DEFAULT)
     roc = materialize(risk.roc_by_model(trained.held_out))
-    drops = importance.permutation_importance(matrix, trained.models, _MODELS)
+    drops = importance.permutation_importance(matrix, trained.models, DEFAULT)
     folder = _folder(t)
     trained.models.save(folder)
-    again = risk.score(matrix, risk.RiskModels.load(folder), _MODELS).withColumnRenamed("risk_score", "again")
-    both = risk.score(matrix, trained.models, _MODELS).join(again.select("work_order_id", "again"), "work_order_id")
+    again = risk.score(matrix, risk.RiskModels.load(folder), DEFAULT).withColumnRenamed("risk_score", "again")
+    both = risk.score(matrix, trained.models, DEFAULT).join(again.select("work_order_id", "again"), "work_order_id")
     figures = trained.metrics.select(F.col("test_n").alias("held_out"), F.size("feature_names").alias("features"))
     ends = roc.groupBy("model").agg(F.min("fpr").alias("lo"), F.max("fpr").alias("hi"), F.max("tpr").alias("top"))
     return figures.withColumns({

@@ -59,6 +59,9 @@ class BoostConfig:
     positive_weight: float = 1.0
     min_rows_per_leaf: int = 1
     random_state: int = 42
+    l2: float = 1.0
+    min_hessian: float = 1.0
+    max_leaves: int = 0  # no bound beside the depth
 
 
 @dataclass(frozen=True)
@@ -67,7 +70,7 @@ class ModelConfig:
     boost_a: BoostConfig = field(
         default_factory=lambda: BoostConfig(subsample=0.8, colsample=0.8, positive_weight=4.0)
     )
-    boost_b: BoostConfig = field(default_factory=lambda: BoostConfig(min_rows_per_leaf=20))
+    boost_b: BoostConfig = field(default_factory=lambda: BoostConfig(min_rows_per_leaf=20, l2=0.0, min_hessian=1e-3, max_leaves=63))
     cv_splits: int = 5
     train_share: float = 0.80
     ensemble_weights: tuple[float, float] = (0.5, 0.5)

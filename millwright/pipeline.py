@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millwright.config import DEFAULT, Config
-from millwright.ml import anomaly, importance, metrics, risk
+from millwright.ml import anomaly, attribution, importance, metrics, risk
 from millwright.plans import features, kpis, validation, views
 from millwright.plans.reports import scorecard
 from millwright.plans.reports.stored import report_datasets
@@ -73,6 +73,7 @@ class Pipeline:
             "confusion": metrics.confusion_matrix(trained.held_out, features.TARGET, called),
             "roc": risk.roc_by_model(trained.held_out),
             "permutation_importance": importance.permutation_importance(matrix, trained.models, self.cfg),
+            "attribution": attribution.attribution_summary(matrix, trained.models.a, self.cfg),
             "tree_importance": importance.tree_importance(trained.models, matrix),
         }
         for name, rows in evaluation.items():
