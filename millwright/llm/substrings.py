@@ -11,8 +11,10 @@ from all others. Neighbouring strings with the same minimizer form one segment,
    ``length`` bytes are equal strings: the first stays, the bytes of the others go.
 3. The places to remove return to the documents, one row per stretch.
 
-Minimizers with more than a thousandth of all rows, found on a sixteenth of the documents, are settled by an aggregate
-and a join that can be split, instead of in one task; that changes the plan, not the result.
+Segments that repeat inside a batch of documents are settled before any shuffle, so a passage in a third of all
+documents sends one row per batch. Substrings that many documents of a sample share are made minimizers only where a
+string has no other, so that such a phrase in ever other surroundings does not draw all of them into one shard. Which
+substrings these are changes the grouping, not the result.
 """
 
 from __future__ import annotations
@@ -33,9 +35,10 @@ from millwright.operators.ordering import row_index
 from millwright.session import materialize
 
 PIECE_BYTES = 1 << 20
-HOT_SHARE = 1000
-HOT_ROWS = 10_000
-SAMPLE = 16
+SAMPLE = 64
+COMMON_SHARE = 500
+COMMON_LEAST = 20
+COMMON_KEPT = 100_000
 SHARD_ROWS = 60_000
 _RANDOM = np.random.default_rng(13)
 _BYTES = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -98,14 +101,21 @@ def _joined(parts: list[tuple[int, int, int, int]], data: memoryview) -> tuple[b
     return b"".join(data[b:e] for _, b, e, _ in parts), rows[:, 0], np.append(0, np.cumsum(sizes)), rows[:, 3]
 
 
-def segments(numbers: np.ndarray, texts: pa.Array, length: int) -> Iterator[dict[str, np.ndarray]]:
-    """Rows of minimizer, content hash, document number, place and size for all segments of the texts."""
+def segments(numbers: np.ndarray, texts: pa.Array, length: int, common: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
+    """Rows of minimizer, content hash, document number, place and size for all segments of the texts.
+
+    The hashes in ``common`` (sorted) are chosen last.
+    """
     size = max(1, length // 4)
     for data, docs, begins, places in _pieces(numbers, texts, length):
         if len(data) < length:
             continue
         bytes_ = np.frombuffer(data, np.uint8)
-        least, at = window_minima(rolling_hashes(bytes_, size), length - size + 1)
+        hashes = rolling_hashes(bytes_, size)
+        if len(common):
+            near = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
+            hashes = (hashes >> np.uint64(1)) | ((common[near] == hashes).astype(np.uint64) << np.uint64(63))
+        least, at = window_minima(hashes, length - size + 1)
         text = np.repeat(np.arange(len(docs)), np.diff(begins))[: len(least)]
         inside = np.arange(len(least)) + length <= begins[text + 1]
         change = np.ones(len(least), bool)
@@ -124,7 +134,7 @@ def segments(numbers: np.ndarray, texts: pa.Array, length: int) -> Iterator[dict
         }
 
 
-SEGMENT = "m long, c long, doc long, pos long, size long"
+SEGMENT = "m long, c long, doc long, pos long, size long, gone boolean"
 SETTLED = "m long, doc long, pos long, size long, first boolean"
 STRETCH = "doc long, start long, end long"
 
@@ -133,16 +143,55 @@ def _frame(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
     return pa.RecordBatch.from_pydict({k: pa.array(v) for k, v in columns.items()})
 
 
+def _combined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
+    """Segments of a batch; those that repeat an earlier one of the batch are marked gone, and dealt by place."""
+    col = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
+    order = np.lexsort((col["pos"], col["doc"], col["c"], col["m"]))
+    same = (col["m"][order[1:]] == col["m"][order[:-1]]) & (col["c"][order[1:]] == col["c"][order[:-1]])
+    gone = np.zeros(len(order), bool)
+    gone[order[1:][same]] = True
+    col["m"] = np.where(gone, (col["doc"] << 20) ^ col["pos"], col["m"])
+    return {**col, "gone": gone}
+
+
 def _segments(base: DataFrame, length: int) -> DataFrame:
+    common = _common(base, length)
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             numbers = batch.column(0).to_numpy(zero_copy_only=False)
-            for part in segments(numbers, batch.column(1).cast(pa.binary()), length):
-                yield _frame(part)
+            parts = list(segments(numbers, batch.column(1).cast(pa.binary()), length, common))
+            if parts:
+                yield _frame(_combined(parts))
 
     return base.select("number", F.coalesce("text", F.lit(""))).mapInArrow(cut, SEGMENT)
 
 
+def _common(base: DataFrame, length: int) -> np.ndarray:
+    """Hashes of the substrings that more than a share of sampled documents hold: a bounded number of the commonest."""
+    size = max(1, length // 4)
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for data, docs, begins, _ in _pieces(batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).cast(pa.binary()), length):
+                if len(data) >= size:
+                    hashes = rolling_hashes(np.frombuffer(data, np.uint8), size)
+                    text = np.repeat(np.arange(len(docs)), np.diff(begins))[: len(hashes)]
+                    order = np.lexsort((text, hashes))
+                    hashes, text = hashes[order], text[order]
+                    new = np.append(True, (hashes[1:] != hashes[:-1]) | (text[1:] != text[:-1]))
+                    found, n = np.unique(hashes[new], return_counts=True)
+                    # In a piece of few documents nothing tells a common substring; in one of many, two do.
+                    held = n > max(1, len(docs) // (2 * COMMON_SHARE))
+                    yield _frame({"h": found[held].view(np.int64), "n": n[held].astype(np.int64)})
+
+    sample = base.where(F.pmod(F.xxhash64("number"), F.lit(SAMPLE)) == 0).select("number", F.coalesce("text", F.lit("")).alias("text"))
+    docs = sample.count()
+    counts = sample.mapInArrow(count, "h long, n long").groupBy("h").agg(F.sum("n").alias("n"))
+    often = counts.where(F.col("n") > max(COMMON_LEAST, docs / COMMON_SHARE)).orderBy(F.desc("n"), "h").limit(COMMON_KEPT)
+    return np.sort(np.array([r.h for r in often.select("h").collect()], np.int64).view(np.uint64))
+
+
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Sorted segments to those that repeat an earlier one, and the first ones of minimizers with several contents.
 
@@ -150,8 +199,12 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """
     last, waiting = None, None
     for batch in batches:
-        col = {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(("m", "c", "doc", "pos", "size"))}
-        n = batch.num_rows
+        col = {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(("m", "c", "doc", "pos", "size", "gone"))}
+        gone = col.pop("gone")
+        if gone.any():
+            yield _frame({**{k: col[k][gone] for k in ("m", "doc", "pos", "size")}, "first": np.zeros(gone.sum(), bool)})
+            col = {k: v[~gone] for k, v in col.items()}
+        n = len(col["m"])
         if not n:
             continue
         other_m, other = np.ones(n, bool), np.ones(n, bool)
@@ -177,42 +230,65 @@ def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             waiting = {**{k: col[k][i] for k in ("m", "doc", "pos", "size")}, "first": np.bool_(True)}
 
 
-def _hot_minimizers(base: DataFrame, length: int) -> DataFrame | None:
-    """(m) of the minimizers with more than a share of all segments, so fewer than ``HOT_SHARE``; None without any."""
-    sample = base.where(F.pmod(F.xxhash64("number"), F.lit(SAMPLE)) == 0)
-    counts = materialize(_segments(sample, length).groupBy("m").agg(F.count(F.lit(1)).alias("n")))
-    total = counts.agg(F.sum("n")).first()[0] or 0
-    hot = counts.where(F.col("n") > max(HOT_ROWS / SAMPLE, total / HOT_SHARE)).select("m")
-    return F.broadcast(hot) if hot.head(1) else None
-
-
 def _settled(base: DataFrame, length: int) -> DataFrame:
     """Segments to remove (first is false), and those to compare with others of their minimizer (true)."""
-    rows, hot = _segments(base, length), _hot_minimizers(base, length)
     parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    plain = rows if hot is None else rows.join(hot, "m", "left_anti")
-    sorted_ = plain.repartition(parts, "m").sortWithinPartitions("m", "c", "doc", "pos")
-    out = sorted_.mapInArrow(_settle, SETTLED)
-    if hot is not None:
-        crowded = rows.join(hot, "m", "left_semi")
-        place = F.struct("doc", "pos")
-        first = crowded.groupBy("m", "c").agg(F.min(place).alias("home"))
-        both = crowded.join(first, ["m", "c"]).select("m", "doc", "pos", "size", (place == F.col("home")).alias("first"))
-        out = out.unionByName(both)
-    return materialize(out)
-
-
-def _cut(length: int):
-    """Documents with their chosen segments to (m, doc, pos, the segment's bytes)."""
+    dealt = _segments(base, length).repartition(parts, "m").sortWithinPartitions("m", "c", "doc", "pos")
+    return materialize(dealt.mapInArrow(_settle, SETTLED))
 
-    def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            for number, text, places in zip(batch["number"], batch["text"], batch["chosen"]):
-                data = (text or "").encode()
-                found = [(p["m"], number, p["pos"], data[p["pos"] : p["pos"] + p["size"]]) for p in places]
-                yield pd.DataFrame(found, columns=["m", "doc", "pos", "data"])
 
-    return cut
+def _bytes_of(lengths: np.ndarray, begins: np.ndarray) -> np.ndarray:
+    """begins[i], begins[i] + 1, ... for lengths[i] places, for all i in turn."""
+    jump = begins - np.append(0, np.cumsum(lengths)[:-1])
+    return np.repeat(jump, lengths) + np.arange(int(lengths.sum()))
+
+
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Documents with their chosen segments to (m, doc, pos, the segment's bytes)."""
+    for whole in batches:
+        for lo in range(0, whole.num_rows, 1000):
+            batch = whole.slice(lo, 1000)
+            texts, lists = batch.column(1).cast(pa.binary()), batch.column(2)
+            begin = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1].astype(np.int64)
+            counts = np.diff(lists.offsets.to_numpy())
+            m, pos, size = (f.to_numpy(zero_copy_only=False) for f in lists.flatten().flatten())
+            row = np.repeat(np.arange(len(counts)), counts)
+            data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[_bytes_of(size, begin[row] + pos)]
+            offsets = np.append(0, np.cumsum(size)).astype(np.int32)
+            cut = pa.Array.from_buffers(pa.binary(), len(size), [None, pa.py_buffer(offsets), pa.py_buffer(data)])
+            numbers = batch.column(0).to_numpy(zero_copy_only=False)
+            yield pa.RecordBatch.from_pydict({"m": pa.array(m), "doc": pa.array(numbers[row]), "pos": pa.array(pos), "data": cut})
+
+
+def _spelled(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The segments as one text, and the end of each in it: a byte is two more than itself, 1 ends a segment."""
+    offsets = np.frombuffer(column.buffers()[1], np.int32)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    data = np.frombuffer(column.buffers()[2] or b"", np.uint8)[offsets[0] : offsets[-1]]
+    ends = offsets[1:] - offsets[0] + np.arange(1, len(column) + 1)
+    text = np.empty(len(data) + len(column), np.uint16)
+    inside = np.ones(len(text), bool)
+    inside[ends - 1] = False
+    text[inside], text[ends - 1] = data.astype(np.uint16) + 2, 1
+    return text, ends
+
+
+def _mark_later(text: np.ndarray, folder: str, length: int) -> np.ndarray:
+    """For each place whether the string that begins there begins at a smaller place too."""
+    later = np.memmap(f"{folder}/later", np.uint8, "w+", shape=(len(text),))
+    least = None  # the first place of the string at hand
+    for at, prefix in SuffixSorter(text, 258, folder, length).descending():
+        begins = prefix < length
+        if least is None:
+            begins[0] = True
+        else:
+            at, begins = np.append(least, at), np.append(True, begins)
+        group = np.flatnonzero(begins)
+        lowest = np.minimum.reduceat(at, group)
+        # An earlier slice may have marked nothing yet where a smaller place turns up now.
+        marks = at != np.repeat(lowest, np.diff(np.append(group, len(at))))
+        later[at[marks]] = 1
+        least = lowest[-1]
+    return later
 
 
 def _repeats(length: int):
@@ -222,42 +298,32 @@ def _repeats(length: int):
         with tempfile.TemporaryDirectory() as folder:  # the scratch of one task, as that of Spark's own sorts
             text, docs, places, ends = DiskList(folder, np.uint16), DiskList(folder), DiskList(folder), DiskList(folder)
             for batch in batches:
+                spelled, bounds = _spelled(batch.column(3))
+                ends.append(bounds + text.size)
+                text.append(spelled)
                 docs.append(batch.column(1).to_numpy(zero_copy_only=False))
                 places.append(batch.column(2).to_numpy(zero_copy_only=False))
-                for data in batch.column(3):
-                    # 0 ends the text, 1 a segment, and a byte is two more than itself.
-                    text.append(np.append(np.frombuffer(data.as_buffer(), np.uint8).astype(np.uint16) + 2, 1))
-                    ends.append(np.array([text.size]))
             if not docs.size:
                 return
             text.append(np.zeros(1))
-            later = np.memmap(f"{folder}/later", np.uint8, "w+", shape=(text.size,))
-            least = None  # the first place of the string at hand
-            for at, prefix in SuffixSorter(text.array(), 258, folder, length).descending():
-                begins = prefix < length
-                if least is not None:
-                    at, begins = np.append(least, at), np.append(True, begins)
-                else:
-                    begins[0] = True
-                group = np.flatnonzero(begins)
-                lowest = np.minimum.reduceat(at, group)
-                marks = np.ones(len(at), bool)
-                marks[at == np.repeat(lowest, np.diff(np.append(group, len(at))))] = False
-                later[at[marks]] = 1
-                least = lowest[-1]
-            bounds = np.append(0, ends.array())
-            for lo in range(0, docs.size, 4096):
-                hi = min(docs.size, lo + 4096)
-                out = []
-                flags, begin = np.array(later[bounds[lo] : bounds[hi]]), bounds[lo]
-                for i in range(lo, hi):
-                    own = flags[bounds[i] - begin : bounds[i + 1] - begin - length]
-                    if own.any():
-                        edge = np.flatnonzero(np.diff(np.concatenate([[0], own, [0]]).astype(np.int8)))
-                        starts, stops = places.array()[i] + edge[::2], places.array()[i] + edge[1::2] + length - 1
-                        out += [(docs.array()[i], a, b) for a, b in zip(starts, stops)]
-                made = np.array(out, np.int64).reshape(-1, 3)
-                yield _frame({"doc": made[:, 0], "start": made[:, 1], "end": made[:, 2]})
+            later = _mark_later(text.array(), folder, length)
+            doc, place, end = docs.array(), places.array(), ends.array()
+            begin = 0
+            for lo in range(0, len(end), 4096):
+                stop = np.array(end[lo : lo + 4096])
+                flags = np.array(later[begin : stop[-1]])
+                row = np.repeat(np.arange(len(stop)), np.diff(np.append(begin, stop)))
+                # No string begins in the last places of a segment: they part the stretches of neighbours.
+                flags[begin + np.arange(len(flags)) + length >= stop[row]] = 0
+                edge = np.flatnonzero(np.diff(np.concatenate([[0], flags, [0]]).astype(np.int8)))
+                first, past = edge[::2], edge[1::2]
+                own = row[first]
+                zero = np.append(begin, stop)[own] - begin
+                at = np.array(place[lo : lo + 4096])[own]
+                yield _frame({
+                    "doc": np.array(doc[lo : lo + 4096])[own], "start": at + first - zero, "end": at + past - zero + length - 1,
+                })
+                begin = int(stop[-1])
 
     return sort
 
@@ -313,7 +379,7 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     compare = settled.where("first").groupBy(F.col("doc").alias("number")).agg(
         F.collect_list(F.struct("m", "pos", "size")).alias("chosen")  # bounded by the segments of one text
     )
-    cut = base.join(compare, "number").select("number", "text", "chosen").mapInPandas(_cut(length), "m long, doc long, pos long, data binary")
+    cut = base.join(compare, "number").select("number", F.coalesce("text", F.lit("")), "chosen").mapInArrow(_cut, "m long, doc long, pos long, data binary")
     spark = docs.sparkSession
     shards = max(int(spark.conf.get("spark.sql.shuffle.partitions")), settled.where("first").count() // SHARD_ROWS + 1)
     dealt = cut.repartition(shards, "m").sortWithinPartitions("doc", "pos")

@@ -85,14 +85,15 @@ def corpus(seed, length):
     return texts + [None, "", "a" * (3 * length), "ab" * length, "a" * (length - 1), texts[0], texts[1]]
 
 
-@pytest.mark.parametrize("seed, length, hot, piece", [(1, 12, 10**6, 1 << 20), (2, 20, 16, 64), (3, 100, 10**6, 1 << 20)])
-def test_equals_brute_force(spark, monkeypatch, seed, length, hot, piece):
-    monkeypatch.setattr(substrings, "HOT_ROWS", hot)
-    monkeypatch.setattr(substrings, "HOT_SHARE", 10**6)
-    monkeypatch.setattr(substrings, "SAMPLE", 1 if hot < 10**6 else 16)
+@pytest.mark.parametrize("seed, length, common, piece", [(1, 12, 10**6, 1 << 20), (2, 20, 3, 64), (4, 40, 3, 1 << 20), (3, 100, 10**6, 1 << 20)])
+def test_equals_brute_force(spark, monkeypatch, seed, length, common, piece):
+    monkeypatch.setattr(substrings, "COMMON_LEAST", common)
+    monkeypatch.setattr(substrings, "SAMPLE", 1)
     monkeypatch.setattr(substrings, "PIECE_BYTES", piece)
     rows = [(i * 3, t) for i, t in enumerate(corpus(seed, length))]
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    if common == 3:
+        assert len(substrings._common(df.selectExpr("doc_id AS number", "text"), length))
     got = {r.doc_id: (r.doc_id, r.n_bytes, r.n_removed, [tuple(s) for s in r.spans], bytes(r.kept)) for r in substrings.remove_repeats(df, length).collect()}
     assert got == {v[0]: v for v in brute(rows, length).values()}
 
