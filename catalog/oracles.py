@@ -242,7 +242,7 @@ def _bad(table: str, source: str, check: str, where: str, level: str, text: str)
 def _null(table: str, source: str, column: str, level: str) -> str:
     return _row(
         table, f"null_rate:{column}", f"SELECT avg(CAST({column} IS NULL AS INT)) AS v FROM {source}",
-        f"CASE WHEN v > 0.02 THEN '{level}' ELSE 'INFO' END", "printf('Null rate %.2f%%', v * 100)", "'0.02'")
+        f"CASE WHEN v > 0.02 THEN '{level}' ELSE 'INFO' END", "printf('%.2f%% of the values are missing', v * 100)", "'0.02'")
 
 
 _ORDER_ROWS = [
@@ -251,13 +251,13 @@ _ORDER_ROWS = [
               "priority", "product_type", "planned_units")
 ] + [
     _bad("work_orders", "wo", "planned_units_positive", "planned_units <= 0", "CRITICAL",
-         "rows with planned_units <= 0"),
+         "orders plan no units"),
     _bad("work_orders", "wo", "defect_count_lte_actual_units", "defect_count > actual_units", "WARNING",
-         "rows where defect_count > actual_units"),
+         "orders count more defects than units made"),
     _row("work_orders", "status_domain",
          "SELECT count(*) AS v FROM (SELECT DISTINCT status FROM wo WHERE coalesce(status NOT IN ('completed', 'failed', "
          "'delayed', 'in_progress', 'cancelled'), true))",
-         "CASE WHEN v > 0 THEN 'WARNING' ELSE 'INFO' END", "concat(v, ' distinct invalid statuses')"),
+         "CASE WHEN v > 0 THEN 'WARNING' ELSE 'INFO' END", "concat(v, ' unknown status values')"),
 ]
 _RANGES = {
     "temperature_c": (15.0, 120.0), "vibration_hz": (0.0, 50.0), "pressure_bar": (0.5, 20.0), "power_kw": (0.0, 500.0),
@@ -269,30 +269,30 @@ _TEL_ROWS = [
     _row("machine_telemetry", f"range:{c}",
          f"SELECT count(*) FILTER (WHERE {c} < {lo} OR {c} > {hi}) AS v, count(*) AS n FROM tel",
          "CASE WHEN v / n > 0.01 THEN 'CRITICAL' WHEN v / n > 0.001 THEN 'WARNING' ELSE 'INFO' END",
-         f"concat(v, ' rows outside [{lo}, {hi}]')", f"'[{lo}, {hi}]'")
+         f"concat(v, ' readings lie out of [{lo}, {hi}]')", f"'[{lo}, {hi}]'")
     for c, (lo, hi) in _RANGES.items()
 ]
 _INSP_ROWS = [
     _bad("quality_inspections", "insp", "unit_count_consistency", "units_passed + units_failed <> units_inspected",
-         "WARNING", "rows where passed + failed != inspected"),
+         "WARNING", "inspections whose parts do not add up"),
     _bad("quality_inspections", "insp", "severity_domain",
-         "coalesce(severity NOT IN ('minor', 'major', 'critical'), true)", "WARNING", "invalid severity values"),
+         "coalesce(severity NOT IN ('minor', 'major', 'critical'), true)", "WARNING", "inspections of unknown severity"),
 ]
 _RULE_ROWS = [
     _bad("work_orders", "wo", "scheduled_end_after_start", "scheduled_end <= scheduled_start", "CRITICAL",
-         "rows where scheduled_end <= scheduled_start"),
+         "orders planned to end before they begin"),
     _bad("work_orders", "wo", "created_before_scheduled_start", "created_at > scheduled_start", "WARNING",
-         "rows where created_at > scheduled_start"),
+         "orders created after their planned start"),
     _bad("work_orders", "wo", "actual_end_after_start", "actual_end < actual_start", "CRITICAL",
-         "rows where actual_end < actual_start"),
+         "orders that ended before they began"),
     _bad("work_orders", "wo", "downtime_non_negative", "downtime_minutes < 0", "CRITICAL",
-         "rows with negative downtime_minutes"),
+         "orders with a downtime below zero"),
     _bad("work_orders", "wo", "actual_units_non_negative", "actual_units < 0", "CRITICAL",
-         "rows with negative actual_units"),
+         "orders with fewer than zero units"),
 ]
 _ORPHANS = "(SELECT DISTINCT work_order_id FROM insp WHERE work_order_id NOT IN (SELECT work_order_id FROM wo))"
 _REF_ROWS = [_bad("quality_inspections", _ORPHANS, "referential_integrity", "true", "CRITICAL",
-                  "inspections reference non-existent work_order_ids")]
+                  "inspected orders are not in the table")]
 _UNION = "\nUNION ALL\n"
 _add("validate_work_orders", _UNION.join(_ORDER_ROWS), "wo")
 _add("validate_telemetry", _UNION.join(_TEL_ROWS), "tel")
