@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+import json
+import tomllib
+from collections.abc import Mapping
+from dataclasses import dataclass, field, fields, is_dataclass
+from typing import Any, get_type_hints
 
 Range = tuple[float, float]
 
@@ -102,6 +106,15 @@ class ReportConfig:
     sample_seed: int = 42
 
 
+@dataclass(frozen=True)
+class LoadConfig:
+    """``buckets``: parts of a stored table, of some GB each at full size. A file with a larger share of lines that cannot be
+    read than ``max_reject_share`` fails the load; 0 allows none."""
+
+    buckets: int = 16
+    max_reject_share: float = 0.0
+
+
 @dataclass(frozen=True)
 class Config:
     validation: ValidationConfig = field(default_factory=ValidationConfig)
@@ -109,6 +122,47 @@ class Config:
     models: ModelConfig = field(default_factory=ModelConfig)
     kpis: KpiConfig = field(default_factory=KpiConfig)
     reports: ReportConfig = field(default_factory=ReportConfig)
+    load: LoadConfig = field(default_factory=LoadConfig)
 
 
 DEFAULT = Config()
+
+
+class UnknownParameter(ValueError):
+    """A parameter that does not exist, or a value of another type than its default."""
+
+
+def parse_config(text: str, fmt: str = "json") -> Config:
+    """Parameters from JSON or TOML text, sections nested as in ``Config``; what is not named keeps its default.
+
+    Unknown names and values of the wrong type are errors, named by their whole path.
+    """
+    if fmt not in ("json", "toml"):
+        raise ValueError(f"parameters are read from json or toml, not {fmt}")
+    return _build(DEFAULT, json.loads(text) if fmt == "json" else tomllib.loads(text), "")
+
+
+def _build(default: Any, given: Any, path: str) -> Any:
+    if not isinstance(given, Mapping):
+        raise UnknownParameter(f"{path or 'parameters'}: a section is expected")
+    known = {f.name: getattr(default, f.name) for f in fields(default)}
+    if unknown := [f"{path}{name}" for name in given if name not in known]:
+        raise UnknownParameter(", ".join(sorted(unknown)))
+    hints = get_type_hints(type(default))
+    changed = {}
+    for name, value in given.items():
+        old, at = known[name], f"{path}{name}"
+        changed[name] = _build(old, value, f"{at}.") if is_dataclass(old) else _value(hints[name], old, value, at)
+    return type(default)(**{**known, **changed})
+
+
+def _value(kind: Any, old: Any, value: Any, at: str) -> Any:
+    if isinstance(old, tuple):
+        if not isinstance(value, (list, tuple)) or len(value) != len(old):
+            raise UnknownParameter(f"{at}: {len(old)} values are expected")
+        return tuple(_value(type(o), o, v, at) for o, v in zip(old, value))
+    if kind is float and isinstance(value, int) and not isinstance(value, bool):
+        return float(value)
+    if not isinstance(value, kind) or isinstance(value, bool) != (kind is bool):
+        raise UnknownParameter(f"{at}: {kind.__name__} is expected, not {value!r}")
+    return value

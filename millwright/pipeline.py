@@ -1,7 +1,8 @@
 """The stages in running order, with parquet folders between them.
 
-``ingest -> validate -> features -> train -> score -> kpis -> views -> reports``. Features run before scoring, so the anomaly
-flags they read are those of the previous run; a missing flag counts as no anomaly.
+``ingest -> validate -> features -> train -> score -> kpis -> views -> reports``. Tables, snapshots and views are published
+versions under ``tables``. Features run before scoring, so the anomaly flags they read are those of the previous scoring;
+a missing flag counts as no anomaly.
 """
 
 from __future__ import annotations
@@ -13,14 +14,16 @@ from pyspark.sql import functions as F
 
 from millwright.config import DEFAULT, Config
 from millwright.ml import anomaly, attribution, importance, metrics, risk
-from millwright.plans import features, kpis, validation, views
+from millwright.plans import features, kpis, refresh, validation
 from millwright.plans.reports import scorecard
 from millwright.plans.reports.stored import report_datasets
 from millwright.schemas import KPI_SNAPSHOTS
 from millwright.session import materialize, scratch
-from millwright.sources.load import load_csvs, write_back
-from millwright.sources.readers import read_parquet, read_tables
-from millwright.sources.writers import write_csv, write_metrics, write_parquet, write_snapshots
+from millwright.sources.load import load_csvs
+from millwright.sources.merge import stage_merge, stage_replace
+from millwright.sources.readers import conform, read_parquet, read_published, read_tables
+from millwright.sources.versions import latest, publish, stage
+from millwright.sources.writers import as_stored, write_csv, write_metrics, write_parquet
 
 
 @dataclass(frozen=True)
@@ -38,7 +41,7 @@ class Pipeline:
         return read_tables(self.spark, self._at("tables"))
 
     def ingest(self, csv_dir: str) -> dict[str, int]:
-        return load_csvs(self.spark, csv_dir, self._at("tables"))
+        return load_csvs(self.spark, csv_dir, self._at("tables"), self.cfg.load)
 
     def validate(self) -> DataFrame:
         """Store all check results and the unknown statuses, then stop the run if a check is critical."""
@@ -81,45 +84,55 @@ class Pipeline:
         return record
 
     def score(self) -> None:
-        """Write scores, and new versions of the scored tables with the scores in place."""
-        t = self._tables()
+        """Store the scores, and merge both models' results into the tables; only buckets that change are written."""
+        root, t = self._at("tables"), self._tables()
+        base = latest(self.spark, root)
         models = risk.RiskModels.load(self._at("models", "risk"))
         scores = risk.score(read_parquet(self.spark, self._at("features")), models, self.cfg)
         write_parquet(scores, self._at("scores", "risk"))
         scores = read_parquet(self.spark, self._at("scores", "risk"))
         write_csv(scores, self._at("scores", "risk_csv"))
-        orders = write_back(t.work_orders, scores, "work_order_id", ["risk_score", "risk_label"])
-        write_parquet(orders, self._at("scored", "work_orders"))
         forest = anomaly.Forest.load(self.spark, self._at("models", "anomaly"))
-        write_parquet(anomaly.score(t.machine_telemetry, forest, self.cfg), self._at("scored", "machine_telemetry"))
-
-    def _scored(self, name: str) -> DataFrame:
-        return read_parquet(self.spark, self._at("scored", name))
+        flags = materialize(
+            anomaly.score(t.machine_telemetry, forest, self.cfg).select("telemetry_id", "anomaly_score", "anomaly_flag"))
+        results = {
+            "work_orders": (scores, ["risk_score", "risk_label"]),
+            "machine_telemetry": (flags, ["anomaly_score", "anomaly_flag"]),
+        }
+        merged = {
+            name: stage_merge(self.spark, root, base, name, rows, columns)
+            for name, (rows, columns) in results.items() if name in base.tables
+        }
+        publish(self.spark, root, base, merged)
 
     def build_kpis(self) -> DataFrame:
-        t = self._tables()
-        rows = kpis.daily_snapshots(
-            self._scored("work_orders"), t.machines, self._scored("machine_telemetry"), self.cfg.kpis
-        )
-        write_snapshots(rows, self._at("tables", "kpi_snapshots"))
+        """Publish the snapshots; of an earlier run's, only the days that differ are replaced."""
+        root, t = self._at("tables"), self._tables()
+        base = latest(self.spark, root)
+        rows = kpis.daily_snapshots(t.work_orders, t.machines, t.machine_telemetry, self.cfg.kpis)
+        rows = materialize(as_stored(rows, refresh.KPIS).select(*KPI_SNAPSHOTS.names))
+        if refresh.KPIS in base.tables:
+            days = materialize(refresh.changed_days(self.spark, root, conform(rows, KPI_SNAPSHOTS)))
+            new = rows.join(days, "snapshot_date", "left_semi")
+            table = stage_replace(self.spark, root, base, refresh.KPIS, days, new)
+        else:
+            table = stage(rows, root, refresh.KPIS, ["snapshot_date"], self.cfg.load.buckets)
+        publish(self.spark, root, base, {refresh.KPIS: table})
         stored = self._snapshots()
         constraints = validation.constraint_checks({"kpi_snapshots": stored, "plants": t.plants})
         write_parquet(constraints, self._at("reports", "kpi_constraints"))
         return stored
 
     def _snapshots(self) -> DataFrame:
-        return read_parquet(self.spark, self._at("tables", "kpi_snapshots"), KPI_SNAPSHOTS)
+        return read_published(self.spark, self._at("tables"), refresh.KPIS, KPI_SNAPSHOTS)
 
     def refresh_views(self) -> None:
         t = self._tables()
-        views.refresh_all_views(self._snapshots(), self._scored("work_orders"), t.plants, t.machines, self._at("views"))
+        refresh.refresh_views(self.spark, self._at("tables"), t.work_orders, t.plants, t.machines)
 
     def build_reports(self) -> None:
         """Store every dataset behind the report pages."""
-        t = self._tables().with_table(
-            work_orders=self._scored("work_orders"), machine_telemetry=self._scored("machine_telemetry")
-        )
-        for name, rows in report_datasets(t, self._snapshots(), self.cfg).items():
+        for name, rows in report_datasets(self._tables(), self._snapshots(), self.cfg).items():
             write_parquet(rows, self._at("reports", "pages", name))
 
     def run(self, csv_dir: str) -> None:

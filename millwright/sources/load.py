@@ -1,95 +1,94 @@
-"""Bulk load of CSV files into parquet tables, and keyed write-back of model outputs."""
+"""Bulk load of CSV files into published tables, and keyed write-back of model outputs."""
 
 from __future__ import annotations
 
-import uuid
+from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from millwright.config import DEFAULT, LoadConfig
 from millwright.schemas import TABLES
-from millwright.sources.readers import read_csv, with_defaults
+from millwright.sources import files
+from millwright.sources.readers import CheckedCsv, check_csv, with_defaults
+from millwright.sources.versions import Stored, latest, publish, stage
 from millwright.sources.writers import as_stored
 
 LOAD_ORDER = ("plants", "machines", "work_orders", "machine_telemetry", "quality_inspections")
+REJECTS = "rejects"
 
 
-def load_csvs(spark: SparkSession, csv_dir: str, target_dir: str) -> dict[str, int]:
+class RejectedRows(ValueError):
+    """More lines of a file could not be read than the load allows."""
+
+
+def load_csvs(
+    spark: SparkSession, csv_dir: str, target_dir: str, limits: LoadConfig = DEFAULT.load
+) -> dict[str, int]:
     """Replace the tables under ``target_dir`` with the CSV files; returns rows loaded per table.
 
-    Tables are written to a staging folder in load order, and swapped in only after every write succeeded. The swap
-    moves all old tables aside before any new one comes in, and moves them back if a step fails, so a failed load
-    leaves the old tables. A missing file is skipped.
+    Tables are staged in load order and published together, so a load that fails, or a driver that is lost, leaves the old
+    ones. Lines that cannot be read as the table's types go to the table ``rejects``, published with the others; a file with
+    a larger share of them than ``limits`` allows fails the load, and the error names the folder with its rejects. Loaded
+    and rejected rows add up to the lines of a file. A missing file is skipped.
     """
-    staging = f"{target_dir}/_staging_{uuid.uuid4().hex}"
+    base = latest(spark, target_dir)
+    staged: dict[str, Stored] = {}
     counts: dict[str, int] = {}
+    rejects: list[DataFrame] = []
     try:
         for table in LOAD_ORDER:
-            schema = TABLES[table].schema
+            rules = TABLES[table]
             try:
-                rows = read_csv(spark, f"{csv_dir}/{table}.csv", schema)
+                checked = check_csv(spark, f"{csv_dir}/{table}.csv", rules.schema)
             except AnalysisException as error:
                 if error.getCondition() != "PATH_NOT_FOUND":
                     raise
                 continue
             seen = Observation()
-            stored = as_stored(with_defaults(rows, table), table).observe(seen, F.count(F.lit(1)).alias("rows"))
-            stored.write.parquet(f"{staging}/{table}")
-            counts[table] = seen.get["rows"]
-        _swap(spark, staging, target_dir, list(counts))
+            rows = checked.accepted(seen)
+            staged[table] = stage(
+                as_stored(with_defaults(rows, table), table), target_dir, table, rules.unique[0], limits.buckets)
+            lines, bad = seen.get["lines"], seen.get["rejected"]
+            counts[table] = lines - bad
+            if bad:
+                rejects.append(_named_rejects(table, checked))
+            if bad > limits.max_reject_share * lines:
+                where = stage(_all_rejects(spark, rejects), target_dir, REJECTS, ["file"], 1).parts.values()
+                raise RejectedRows(f"{table}: {bad} of {lines} lines rejected, see {target_dir}/{', '.join(where)}")
+        staged[REJECTS] = stage(_all_rejects(spark, rejects), target_dir, REJECTS, ["file"], 1)
     except BaseException:
-        # After a failed way back the old tables still lie here: then nothing is deleted.
-        if not _fs(spark, staging).exists(_path(spark, f"{staging}/_old")):
-            _delete(spark, staging)
+        for table in staged.values():
+            for path in table.parts.values():
+                files.delete(spark, f"{target_dir}/{path}")
         raise
-    _delete(spark, staging)
+    publish(spark, target_dir, base, staged)
     return counts
 
 
-def _path(spark: SparkSession, path: str):
-    return spark._jvm.org.apache.hadoop.fs.Path(path)
-
-
-def _fs(spark: SparkSession, path: str):
-    return _path(spark, path).getFileSystem(spark._jsc.hadoopConfiguration())
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    _fs(spark, path).delete(_path(spark, path), True)
+def _named_rejects(table: str, checked: CheckedCsv) -> DataFrame:
+    return checked.rejected().select(F.lit(table).alias("table"), "*")
 
 
-def _move(spark: SparkSession, source: str, target: str) -> None:
-    if not _fs(spark, source).rename(_path(spark, source), _path(spark, target)):
-        raise OSError(f"could not move {source} to {target}")
-
-
-def _swap(spark: SparkSession, staging: str, target_dir: str, tables: list[str]) -> None:
-    """Put the staged tables in place of the old ones: all or none."""
-    old = f"{staging}/_old"
-    fs = _fs(spark, staging)
-    fs.mkdirs(_path(spark, old))
-    done: list[tuple[str, str]] = []
-    steps = [(f"{target_dir}/{t}", f"{old}/{t}") for t in tables if fs.exists(_path(spark, f"{target_dir}/{t}"))]
-    steps += [(f"{staging}/{t}", f"{target_dir}/{t}") for t in tables]
-    try:
-        for source, target in steps:
-            _move(spark, source, target)
-            done.append((source, target))
-    except BaseException:
-        for source, target in reversed(done):
-            _move(spark, target, source)
-        _delete(spark, old)
-        raise
+def _all_rejects(spark: SparkSession, found: list[DataFrame]) -> DataFrame:
+    if not found:
+        kinds = "table string, file string, line string, reasons array<struct<column:string,value:string>>"
+        return spark.createDataFrame([], kinds)
+    out = found[0]
+    for rows in found[1:]:
+        out = out.unionByName(rows)
+    return out
 
 
-def write_back(table: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
+def write_back(table: DataFrame, updates: DataFrame, key: str | Sequence[str], columns: Sequence[str]) -> DataFrame:
     """Rows of ``table`` with ``columns`` replaced where ``updates`` has the key; other rows keep their values.
 
     ``updates`` must be unique on the key. Write the result to a new path, never over its own input.
     """
-    new = updates.select(key, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
-    joined = table.join(new, key, "left")
+    keys = [key] if isinstance(key, str) else list(key)
+    new = updates.select(*keys, F.lit(True).alias("_hit"), *[F.col(c).alias(f"_new_{c}") for c in columns])
+    joined = table.join(new, keys, "left")
     values = {
         c: F.when(F.col("_hit"), F.col(f"_new_{c}").cast(table.schema[c].dataType)).otherwise(F.col(c)) for c in columns
     }

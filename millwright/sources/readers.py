@@ -5,12 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass, fields, replace
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from millwright.schemas import TABLES
 from millwright.session import use_utc
+from millwright.sources.versions import latest, read_stored
 
 
 @dataclass(frozen=True)
@@ -71,6 +72,68 @@ def _parse(text: F.Column, kind: T.DataType) -> F.Column:
     return text.try_cast(kind)
 
 
+_LINE, _REASONS, _FILE = "_line", "_reasons", "_file"
+
+
+@dataclass(frozen=True)
+class CheckedCsv:
+    """Every line of a CSV file with its parsed columns and the reasons, if any, for which it cannot be loaded."""
+
+    rows: DataFrame
+    columns: tuple[str, ...]
+
+    def accepted(self, seen: Observation | None = None) -> DataFrame:
+        """Lines without a reason; ``seen`` counts ``lines`` and ``rejected`` in the same pass."""
+        bad = F.size(_REASONS) > 0
+        rows = self.rows
+        if seen is not None:
+            rows = rows.observe(seen, F.count(F.lit(1)).alias("lines"), F.count_if(bad).alias("rejected"))
+        return rows.filter(~bad).select(*self.columns)
+
+    def rejected(self) -> DataFrame:
+        """One row for each line that has reasons: its file, its text, and the columns with their unreadable values.
+
+        The reason for a line with too few or too many fields has no column, and the whole line as its value.
+        """
+        found = self.rows.filter(F.size(_REASONS) > 0)
+        return found.select(F.col(_FILE).alias("file"), F.col(_LINE).alias("line"), F.col(_REASONS).alias("reasons"))
+
+
+def check_csv(spark: SparkSession, path: str, schema: T.StructType) -> CheckedCsv:
+    """CSV like ``read_csv``, but a line is either accepted whole or rejected with reasons; no cell is lost silently.
+
+    A column that the header lacks is NULL and no reason; columns that the schema lacks are left out.
+    """
+    header = spark.read.option("header", True).csv(path).columns
+    texts = T.StructType([T.StructField(c, T.StringType()) for c in [*header, _LINE]])
+    options = {"header": True, "nullValue": "", "columnNameOfCorruptRecord": _LINE, "columnPruning": False}
+    scanned = spark.read.schema(texts).options(**options).csv(path).select("*", F.col("_metadata.file_path").alias(_FILE))
+    present = {c.lower(): F.col(f"`{c}`") for c in header}
+    reasons = [F.when(F.col(_LINE).isNotNull(), _reason(F.lit(None).cast("string"), F.col(_LINE)))]
+    parsed = []
+    for f in schema.fields:
+        text = present.get(f.name.lower(), F.lit(None).cast("string"))
+        value = _parse(text, f.dataType)
+        parsed.append(value.cast(f.dataType).alias(f.name))
+        if f.name.lower() in present and not isinstance(f.dataType, T.StringType):
+            reasons.append(F.when(text.isNotNull() & value.isNull(), _reason(F.lit(f.name), text)))
+    line = F.coalesce(F.col(_LINE), F.to_csv(F.struct(*[F.col(f"`{c}`") for c in header])))
+    rows = scanned.select(
+        *parsed, F.array_compact(F.array(*reasons)).alias(_REASONS), line.alias(_LINE), F.col(_FILE))
+    return CheckedCsv(rows, tuple(schema.names))
+
+
+def _reason(column: Column, value: Column) -> Column:
+    return F.struct(column.alias("column"), value.alias("value"))
+
+
+def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
+    """The schema's columns in its types; one that the rows lack is NULL."""
+    return df.select(*[
+        (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
+    ])
+
+
 def read_parquet(
     spark: SparkSession, path: str, schema: T.StructType | None = None, missing_ok: bool = False
 ) -> DataFrame:
@@ -81,11 +144,7 @@ def read_parquet(
 
     def scan() -> DataFrame:
         df = spark.read.parquet(path)
-        if schema is None:
-            return df
-        return df.select(*[
-            (F.col(f.name) if f.name in df.columns else F.lit(None)).cast(f.dataType).alias(f.name) for f in schema.fields
-        ])
+        return df if schema is None else conform(df, schema)
 
     if missing_ok:
         return _or_empty(scan, spark, schema or T.StructType([]))
@@ -122,16 +181,28 @@ def jdbc_options(url: str, table: str, partition_column: str, bounds: tuple[int,
     }
 
 
+def read_published(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
+    """A table of the last published version, empty if that has none."""
+    rows = read_stored(spark, root, latest(spark, root), name)
+    return spark.createDataFrame([], schema) if rows is None else conform(rows, schema)
+
+
 def read_tables(spark: SparkSession, path: str, fmt: str = "parquet", missing_ok: bool = True) -> Tables:
-    """All five tables from ``path/<table>`` (or ``path/<table>.csv``)."""
+    """All five tables as published under ``path``, all of one version.
+
+    Where nothing was published they come from ``path/<table>``, or from ``path/<table>.csv``.
+    """
     use_utc(spark)
+    version = latest(spark, path) if fmt == "parquet" else None
     frames = {}
     for field in fields(Tables):
         schema = TABLES[field.name].schema
         if fmt == "csv":
             df = read_csv(spark, f"{path}/{field.name}.csv", schema, missing_ok)
+        elif field.name in version.tables:
+            df = conform(read_stored(spark, path, version, field.name), schema)
         else:
-            df = read_parquet(spark, f"{path}/{field.name}", schema, missing_ok)
+            df = read_parquet(spark, f"{path}/{field.name}", schema, missing_ok or version.number > 0)
         frames[field.name] = with_defaults(df, field.name)
     return Tables(**frames)
 

@@ -12,12 +12,12 @@ from millwright.config import DEFAULT, AnomalyConfig, BoostConfig, ModelConfig
 from millwright.pipeline import Pipeline
 from millwright.plans.validation import ValidationError
 from millwright.plans import kpis
-from millwright.schemas import MACHINES, MACHINE_TELEMETRY, PLANTS, QUALITY_INSPECTIONS, WORK_ORDERS
+from millwright.schemas import KPI_SNAPSHOTS, MACHINES, MACHINE_TELEMETRY, PLANTS, QUALITY_INSPECTIONS, WORK_ORDERS
 from millwright.session import ensure_checkpoint_dir
 from millwright.sources import read_csv, read_parquet, read_tables, write_csv, write_snapshots
-from millwright.sources import load
 from millwright.sources.load import load_csvs, write_back
-from millwright.sources.readers import jdbc_options
+from millwright.sources.readers import jdbc_options, read_published
+from millwright.sources.versions import latest, read_stored
 from tests.builders import T0, column, machines, orders
 
 
@@ -100,7 +100,7 @@ def test_load_counts_defaults_and_skips(spark, csv_dir, tmp_path):
     assert tables.machine_telemetry.first()["anomaly_flag"] is False
     assert tables.quality_inspections.count() == 0
     assert load_csvs(spark, str(csv_dir), target)["work_orders"] == 120  # a second load replaces
-    assert not [p for p in (tmp_path / "tables").iterdir() if p.name.startswith("_staging")]
+    assert latest(spark, target).number == 2
 
 
 def test_failed_load_keeps_the_old_tables(spark, csv_dir, tmp_path):
@@ -116,26 +116,6 @@ def test_failed_load_keeps_the_old_tables(spark, csv_dir, tmp_path):
     assert read_tables(spark, target).plants.count() == 2
 
 
-def test_swap_is_all_or_nothing(spark, csv_dir, tmp_path, monkeypatch):
-    target = str(tmp_path / "tables")
-    load_csvs(spark, str(csv_dir), target)
-    (csv_dir / "plants.csv").write_text("plant_id,plant_code,plant_name,region,capacity_units\n9,P9,Nine,,1\n")
-    move = load._move
-
-    def fails_once(session, source, to):
-        if to == f"{target}/machine_telemetry":
-            monkeypatch.setattr(load, "_move", move)
-            raise OSError("no room")
-        move(session, source, to)
-
-    monkeypatch.setattr(load, "_move", fails_once)
-    with pytest.raises(OSError, match="no room"):
-        load_csvs(spark, str(csv_dir), target)
-    tables = read_tables(spark, target)
-    assert tables.plants.count() == 2 and tables.machine_telemetry.count() == 300
-    assert not [p for p in (tmp_path / "tables").iterdir() if p.name.startswith("_staging")]
-
-
 def test_invalid_statuses_are_named(spark, csv_dir, tmp_path):
     text = (csv_dir / "work_orders.csv").read_text().replace("completed", "compleet", 3)
     (csv_dir / "work_orders.csv").write_text(text)
@@ -178,13 +158,20 @@ def test_whole_pipeline(spark, csv_dir, tmp_path):
     before = set(store.iterdir())
     run.run(str(csv_dir))
     assert not [p for p in set(store.iterdir()) - before if p.name.startswith("table-")]
-    scored = read_parquet(spark, str(tmp_path / "root" / "scored" / "work_orders"))
+    root = str(tmp_path / "root" / "tables")
+    scored = read_tables(spark, root).work_orders
     assert scored.count() == 120 and scored.filter("risk_score IS NULL").count() == 0
-    flagged = read_parquet(spark, str(tmp_path / "root" / "scored" / "machine_telemetry"))
+    flagged = read_tables(spark, root).machine_telemetry
     assert flagged.filter("anomaly_flag").count() == 300
-    snapshots = read_parquet(spark, str(tmp_path / "root" / "tables" / "kpi_snapshots"))
+    snapshots = read_published(spark, root, "kpi_snapshots", KPI_SNAPSHOTS)
     assert snapshots.agg({"anomaly_count": "sum"}).first()[0] > 0
-    assert read_parquet(spark, str(tmp_path / "root" / "views" / "mv_plant_summary")).count() == 2
+    published = latest(spark, root)
+    assert read_stored(spark, root, published, "mv_plant_summary").count() == 2
+    run.score()
+    run.build_kpis()
+    again = latest(spark, root)
+    for name in ("work_orders", "kpi_snapshots"):
+        assert again.tables[name] == published.tables[name]  # the same results write nothing
     pages = tmp_path / "root" / "reports" / "pages"
     rows = {p.name: read_parquet(spark, str(p)).count() for p in pages.iterdir()}
     assert len(rows) == 26
