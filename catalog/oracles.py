@@ -654,3 +654,58 @@ _add("validate_kpi_constraints", _UNION.join([
     _bad("kpi_snapshots", "(SELECT DISTINCT plant_id FROM kpi WHERE plant_id NOT IN (SELECT plant_id FROM plants))",
          "foreign_key:plant_id", "true", "CRITICAL", "keys missing in plants"),
 ]), "kpi", "plants")
+
+# Published tables
+
+for _copy, _source in (
+    ("merge_scores", "write_back_scores"), ("snapshot_days_replaced", "kpi_daily_snapshot"),
+    ("summary_by_difference", "mv_plant_summary"), ("daily_oee_by_difference", "mv_daily_oee"),
+):
+    ORACLES[_copy] = ORACLES[_source]
+_add("csv_rejects", """
+SELECT work_order_id, CASE WHEN r IS NULL THEN planned_units END AS planned_units, r AS rejected_for FROM (
+  SELECT *, nullif(concat_ws(',', CASE WHEN work_order_id % 23 = 0 THEN 'created_at' END,
+                             CASE WHEN work_order_id % 17 = 0 THEN 'planned_units' END), '') AS r FROM wo)""", "wo")
+_add("scan_partitions", """
+SELECT 1::INT AS parts_of_row, count(*) AS rows,
+       count(*) FILTER (WHERE work_order_id % 3 = 0 OR work_order_id % 41 <> 0) AS keyed FROM wo""", "wo")
+
+# ROC corners, parameters, lenient times, absent columns, gate, drill inputs
+
+
+def _corners(curve: str) -> str:
+    return f"""
+SELECT NULL::DOUBLE AS score, 0e0 AS fpr, 0e0 AS tpr
+UNION ALL
+SELECT s, fpr, tpr FROM (
+  SELECT s, CAST(sum(neg) OVER w AS DOUBLE) / sum(neg) OVER () AS fpr, CAST(sum(pos) OVER w AS DOUBLE) / sum(pos) OVER () AS tpr,
+         coalesce(pos * lead(neg) OVER w <> neg * lead(pos) OVER w, true) AS bends
+  FROM {curve} WINDOW w AS (ORDER BY s DESC))
+WHERE bends"""
+
+
+_add("roc_corners", _corners("""(SELECT CAST(n_chars AS DOUBLE) AS s, count(*) FILTER (WHERE toxic = 1) AS pos,
+    count(*) FILTER (WHERE toxic <> 1) AS neg FROM labels JOIN documents USING (doc_id) GROUP BY ALL)"""))
+_add("roc_corners_blocks",
+     f"SELECT score, {_round('fpr', 9)} AS fpr, {_round('tpr', 9)} AS tpr FROM ({_corners('curve')})", "curve")
+_add("kpi_with_parameters", _kpis("wo").replace("> 120)", "> 60)").replace("9999e0", "48e0"), "wo", "machines", "anomalies")
+_add("lenient_timestamps",
+     "SELECT work_order_id, CASE WHEN work_order_id % 13 <> 0 THEN created_at END AS created_at FROM wo", "wo")
+_add("validate_absent_columns", _UNION.join([
+    _null("work_orders", "(SELECT * REPLACE (NULL AS planned_units, NULL AS status) FROM wo)", c, "CRITICAL")
+    for c in ("work_order_id", "machine_id", "plant_id", "created_at", "scheduled_start", "scheduled_end", "status",
+              "priority", "product_type", "planned_units")
+]), "wo")
+_add("matrix_absent_features", "SELECT unnest(['lead_time_hours', 'queue_depth', 'overdue_flag', " + ", ".join(
+    f"'{c}'" for c in (
+        "machine_age_years", "failure_count_30d", "avg_downtime_30d", "days_since_last_failure", "plant_defect_rate_7d",
+        "plant_failure_rate_7d", "plant_utilization_rate", "tel_temp_mean", "tel_temp_std", "tel_temp_max", "tel_vib_mean",
+        "tel_vib_max", "tel_pres_deviation", "tel_pwr_spike_count", "tel_anomaly_count")
+) + "]) AS feature, (SELECT count(*) FROM wo) AS zeros", "wo")
+_add("validation_gate", f"""
+SELECT checks, critical, critical > 0 AS stopped FROM (
+  SELECT 'work_orders' AS checks, count(*) FILTER (WHERE level = 'CRITICAL') AS critical FROM ({_UNION.join(_ORDER_ROWS)})
+  UNION ALL
+  SELECT 'references', count(*) FILTER (WHERE level = 'CRITICAL') FROM ({_UNION.join(_REF_ROWS)}))""", "wo", "insp")
+_add("drill_kpis", "SELECT * FROM kpin WHERE plant_name IN (SELECT plant_name FROM plants ORDER BY plant_name LIMIT 3)",
+     "kpin", "plants")

@@ -9,13 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from catalog.testbed import Testbed
-from millwright.config import DEFAULT, FeatureConfig
-from millwright.functions import half_even
+from millwright.config import DEFAULT, FeatureConfig, parse_config
+from millwright.functions import half_even, parse_timestamps
 from millwright.ml import anomaly, attribution, importance, metrics, risk, split
 from millwright.operators.ordering import running_sums
 from millwright.operators.sampling import hash_sample
 from millwright.operators.sizing import dimension
-from millwright.plans import features, inspections, kpis, validation, views
+from millwright.plans import features, inspections, kpis, refresh, validation, views
 from millwright.plans.reports import common, equipment, executive, quality, risk as risk_page, scorecard
 from millwright.schemas import KPI_SNAPSHOTS, MACHINE_TELEMETRY, WORK_ORDERS
 from millwright.session import ensure_checkpoint_dir, materialize
@@ -23,6 +23,10 @@ from millwright.sources import (
     read_csv, read_metrics, read_parquet, read_tables, write_csv, write_metrics, write_parquet, write_snapshots,
 )
 from millwright.sources.load import load_csvs, write_back
+from millwright.sources.merge import stage_merge, stage_replace
+from millwright.sources.readers import check_csv, read_published, scan_predicates
+from millwright.sources.versions import Version, latest, publish, read_stored, stage
+from millwright.sources.writers import as_stored
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -542,10 +546,7 @@ def hash_sample_orders(t: Testbed) -> DataFrame:
 @query
 def write_back_scores(t: Testbed) -> DataFrame:
     """Scores of finished orders replaced by new ones, all other orders unchanged."""
-    new = t.work_orders.filter(F.col("status") == "completed").select(
-        "work_order_id", (F.lit(1.0) - F.col("risk_score")).alias("risk_score"), F.lit(0).alias("risk_label")
-    )
-    out = write_back(t.work_orders, new, "work_order_id", ["risk_score", "risk_label"])
+    out = write_back(t.work_orders, _new_scores(t), "work_order_id", ["risk_score", "risk_label"])
     return out.select("work_order_id", half_even("risk_score", 4).alias("risk_score"), "risk_label")
 
 
@@ -765,3 +766,174 @@ def invalid_status_values(t: Testbed) -> DataFrame:
 @query
 def validate_kpi_constraints(t: Testbed) -> DataFrame:
     return validation.constraint_checks({"kpi_snapshots": materialize(snapshots(t)), "plants": t.plants})
+
+
+# Published tables: merges, replaced days, views by difference, rejected lines.
+
+
+def _new_scores(t: Testbed) -> DataFrame:
+    done = t.work_orders.filter(F.col("status") == "completed")
+    return done.select("work_order_id", (F.lit(1.0) - F.col("risk_score")).alias("risk_score"), F.lit(0).alias("risk_label"))
+
+
+@query
+def merge_scores(t: Testbed) -> DataFrame:
+    """The update of ``write_back_scores`` as a merge into a published table."""
+    root, buckets = _folder(t), DEFAULT.load.buckets
+    base = publish(t.spark, root, Version(), {"work_orders": stage(t.work_orders, root, "work_orders", ["work_order_id"], buckets)})
+    merged = stage_merge(t.spark, root, base, "work_orders", materialize(_new_scores(t)), ["risk_score", "risk_label"])
+    publish(t.spark, root, base, {"work_orders": merged})
+    out = read_published(t.spark, root, "work_orders", WORK_ORDERS)
+    return out.select("work_order_id", half_even("risk_score", 4).alias("risk_score"), "risk_label")
+
+
+def _published_snapshots(t: Testbed) -> tuple[str, DataFrame]:
+    """Snapshots with wrong defect rates on later days, and earlier days repeated ten years before, where there are none."""
+    root = _folder(t)
+    rows = materialize(as_stored(snapshots(t), refresh.KPIS).select(*KPI_SNAPSHOTS.names))
+    late = F.col("snapshot_date") > F.lit("2024-01-15").cast("date")
+    wrong = rows.withColumn("defect_rate", F.when(late, F.col("oee_score")).otherwise(F.col("defect_rate")))
+    extra = rows.filter(~late).withColumn("snapshot_date", F.date_add("snapshot_date", -3650))
+    table = stage(wrong.unionByName(extra), root, refresh.KPIS, ["snapshot_date"], DEFAULT.load.buckets)
+    publish(t.spark, root, Version(), {refresh.KPIS: table})
+    return root, rows
+
+
+def _put_right(t: Testbed, root: str, rows: DataFrame) -> None:
+    """Replace the days that differ: later ones change, those that do not exist go."""
+    base = latest(t.spark, root)
+    days = materialize(refresh.changed_days(t.spark, root, rows.withColumns({
+        f.name: F.col(f.name).cast(f.dataType) for f in KPI_SNAPSHOTS.fields})))
+    new = rows.join(days, "snapshot_date", "left_semi")
+    publish(t.spark, root, base, {refresh.KPIS: stage_replace(t.spark, root, base, refresh.KPIS, days, new)})
+
+
+@query
+def snapshot_days_replaced(t: Testbed) -> DataFrame:
+    root, rows = _published_snapshots(t)
+    _put_right(t, root, rows)
+    return read_published(t.spark, root, refresh.KPIS, KPI_SNAPSHOTS)
+
+
+def _refreshed_twice(t: Testbed, view: str) -> DataFrame:
+    root, rows = _published_snapshots(t)
+    refresh.refresh_views(t.spark, root, t.work_orders, t.plants, t.machines)
+    _put_right(t, root, rows)
+    refresh.refresh_views(t.spark, root, t.work_orders, t.plants, t.machines)
+    return read_stored(t.spark, root, latest(t.spark, root), view)
+
+
+@query
+def summary_by_difference(t: Testbed) -> DataFrame:
+    """The plant summary after a refresh that retracts wrong days, takes out others and adds the right ones."""
+    return _refreshed_twice(t, refresh.SUMMARY)
+
+
+@query
+def daily_oee_by_difference(t: Testbed) -> DataFrame:
+    out = _refreshed_twice(t, refresh.DAILY)
+    return out.withColumns({c: F.col(c).cast("double") for c, kind in out.dtypes if kind.startswith("decimal")})
+
+
+@query
+def csv_rejects(t: Testbed) -> DataFrame:
+    """Orders through CSV with unreadable cells: every order is either loaded or rejected with the columns at fault."""
+    path, n = _folder(t), F.col("work_order_id")
+    texts = t.work_orders.withColumns({
+        "planned_units": F.concat(F.col("planned_units"), F.when(n % 17 == 0, F.lit("?")).otherwise(F.lit(""))),
+        "created_at": F.when(n % 23 == 0, F.lit("soon")).otherwise(F.col("created_at").cast("string")),
+    })
+    write_csv(texts, path)
+    checked = check_csv(t.spark, path, WORK_ORDERS)
+    loaded = checked.accepted().select("work_order_id", "planned_units", F.lit(None).cast("string").alias("rejected_for"))
+    names = F.concat_ws(",", F.transform("reasons", lambda r: r["column"]))
+    number = F.split_part("line", F.lit(","), F.lit(1)).cast("long")
+    bad = checked.rejected().select(number.alias("work_order_id"), F.lit(None).cast("int").alias("planned_units"), names.alias("rejected_for"))
+    return loaded.unionByName(bad)
+
+
+@query
+def scan_partitions(t: Testbed) -> DataFrame:
+    """Rows in each part of a scan planned from key quantiles; a third of the keys is one machine, some are NULL."""
+    n = F.col("work_order_id")
+    keys = t.work_orders.select(
+        F.when(n % 3 == 0, F.lit(5)).when(n % 41 != 0, F.col("machine_id")).alias("machine_id"))
+    met = [F.expr(p).cast("int") for p in scan_predicates(keys, "machine_id", 8)]
+    times = F.lit(0)
+    for hit in met:
+        times = times + F.coalesce(hit, F.lit(0))
+    return keys.groupBy(times.alias("parts_of_row")).agg(F.count(F.lit(1)).alias("rows"), F.count("machine_id").alias("keyed"))
+
+
+# ROC corners, parameters from text, lenient times, absent columns, the gate, and the drill inputs' KPIs.
+
+
+@query
+def roc_corners(t: Testbed) -> DataFrame:
+    rows = t.raw("labels").join(t.raw("documents").select("doc_id", "n_chars"), "doc_id")
+    return metrics.roc_corners(metrics.score_curve(rows.withColumn("s", F.col("n_chars").cast("double")), "s", "toxic"))
+
+
+@query
+def roc_corners_blocks(t: Testbed) -> DataFrame:
+    """Corners over sorted partitions whose neighbours are carried across."""
+    curve = metrics.score_curve(_labelled(t), "risk_score", features.TARGET)
+    return rounded(metrics.roc_corners(curve, max_rows=0), 9, "fpr", "tpr")
+
+
+@query
+def kpi_with_parameters(t: Testbed) -> DataFrame:
+    """Snapshots with parameters from a text: breaches from one hour on, MTBF of at most two days."""
+    cfg = parse_config('{"kpis": {"sla_breach_threshold_hours": 1, "mtbf_cap_hours": 48.0}}')
+    return kpis.daily_snapshots(t.work_orders, t.machines, t.machine_telemetry, cfg.kpis)
+
+
+@query
+def lenient_timestamps(t: Testbed) -> DataFrame:
+    """Times as text, every 13th of them unreadable."""
+    text = F.when(F.col("work_order_id") % 13 == 0, F.lit("31 of never")).otherwise(F.col("created_at").cast("string"))
+    return parse_timestamps(t.work_orders.select("work_order_id", text.alias("created_at")), "created_at")
+
+
+@query
+def validate_absent_columns(t: Testbed) -> DataFrame:
+    """Orders without planned units, defects and status: their null rates are 1, checks on them are left out."""
+    return validation.validate_work_orders(t.work_orders.drop("planned_units", "defect_count", "status"))
+
+
+@query
+def matrix_absent_features(t: Testbed) -> DataFrame:
+    """Features that no column gives, by name, and that the matrix has them as 0 in every row."""
+    some = features.static_features(t.work_orders)
+    absent = features.missing_features(some)
+    matrix = features.select_matrix(some)
+    zero = [F.struct(F.lit(c).alias("feature"), F.count_if(F.col(c) == 0).alias("zeros")) for c in absent]
+    return matrix.agg(F.array(*zero).alias("found")).select(F.inline("found"))
+
+
+@query
+def validation_gate(t: Testbed) -> DataFrame:
+    """Whether the gate stops the checks of each table, beside the number of critical ones."""
+    out = None
+    for name, results in {
+        "work_orders": validation.validate_work_orders(t.work_orders),
+        "references": validation.check_references(t.work_orders, t.quality_inspections),
+    }.items():
+        results = materialize(results)
+        try:
+            validation.gate(results)
+            stopped = False
+        except validation.ValidationError:
+            stopped = True
+        row = results.agg(F.lit(name).alias("checks"), F.count_if(F.col("level") == "CRITICAL").alias("critical"),
+                          F.lit(stopped).alias("stopped"))
+        out = row if out is None else out.unionByName(row)
+    return out
+
+
+@query
+def drill_kpis(t: Testbed) -> DataFrame:
+    """KPI half of the drill inputs: snapshots of the chosen plants, whatever products are chosen."""
+    plants = [r["plant_name"] for r in common.distinct_values(t.plants, "plant_name").limit(3).collect()]
+    _, chosen = quality.drill_inputs(located_orders(t), named_snapshots(t), plants, ["ECONOMY"])
+    return chosen

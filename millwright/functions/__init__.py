@@ -7,11 +7,10 @@ from millwright.functions.temporal import (
     floor_div,
     hours_between,
     month_of,
-    months_between,
     parse_timestamps,
 )
 
 __all__ = [
     "at_or_before_zero", "clip", "day_of", "fixed_avg", "floor_div", "half_even", "hours_between", "month_of",
-    "months_between", "parse_timestamps", "pearson", "share", "to_double",
+    "parse_timestamps", "pearson", "share", "to_double",
 ]

@@ -49,10 +49,3 @@ def day_of(ts: Column | str) -> Column:
 
 def month_of(ts: Column | str) -> Column:
     return F.date_format(ts, "yyyy-MM")
-
-
-def months_between(ts: Column | str, start: str) -> Column:
-    """Calendar-month distance from an ISO start date (days are ignored)."""
-    ts = F.col(ts) if isinstance(ts, str) else ts
-    origin = F.lit(start).cast("date")
-    return (F.year(ts) - F.year(origin)) * 12 + (F.month(ts) - F.month(origin))

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from millwright.operators.ordering import running_sums
+from millwright.operators.ordering import running_sums, with_next_row
 from millwright.operators.sizing import SINGLE_TASK_ROWS
 from millwright.session import materialize
 
@@ -77,9 +77,33 @@ def f1_score(df: DataFrame, label: str, predicted: Column) -> DataFrame:
     return c.select(F.coalesce(F.try_divide(2.0 * F.col("tp"), 2 * F.col("tp") + wrong), F.lit(0.0)).alias("f1"))
 
 
-def roc_points(curve: DataFrame) -> DataFrame:
-    """Every point of the ROC curve, starting at the origin."""
-    totals = curve.agg(F.max("tp").alias("p"), F.max("fp").alias("n")).first()
+def roc_corners(curve: DataFrame, grid: int | None = None, max_rows: int = SINGLE_TASK_ROWS) -> DataFrame:
+    """Points at which the ROC curve bends, with the origin and the end: the curve through them is the whole one.
+
+    A point goes if the steps before and after it have one direction, compared in whole numbers. With ``grid``, only the last
+    corner in each cell of a grid of that many steps a side is kept, and the end: at most ``2 * grid`` points for any
+    number of rows, every lost corner within one step of a kept one.
+    """
+    ordered = with_next_row(curve, [F.col("score").desc()], ["pos", "neg", "tp", "fp"], "_next", max_rows)
+    wide = "decimal(19,0)"
+    rise, run = F.col("pos").cast(wide), F.col("neg").cast(wide)
+    straight = rise * F.col("_next.neg").cast(wide) == run * F.col("_next.pos").cast(wide)
+    corners = ordered.filter(F.col("_next").isNull() | ~straight)
+    if grid is not None:
+        totals = curve.agg(F.max("tp").alias("p"), F.max("fp").alias("n")).first()
+
+        def cell(value: Column, total: int | None) -> Column:
+            return F.floor(value * F.lit(grid) / F.lit(max(total or 0, 1))).cast("long")
+
+        kept = corners.drop("_next").withColumns({"_x": cell(F.col("fp"), totals["n"]), "_y": cell(F.col("tp"), totals["p"])})
+        last = kept.groupBy("_x", "_y").agg(F.max_by(F.struct(*curve.columns), F.struct("tp", "fp")).alias("_row"))
+        corners = last.select("_row.*")
+    return roc_points(corners.select(*curve.columns), curve)
+
+
+def roc_points(curve: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """Every point of the ROC curve, starting at the origin; the totals are those of ``whole`` if ``curve`` is a part of it."""
+    totals = (curve if whole is None else whole).agg(F.max("tp").alias("p"), F.max("fp").alias("n")).first()
     p, n = float(totals["p"] or 0), float(totals["n"] or 0)
     points = curve.select(
         "score", F.try_divide(F.col("fp"), F.lit(n)).alias("fpr"), F.try_divide(F.col("tp"), F.lit(p)).alias("tpr")

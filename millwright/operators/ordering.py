@@ -72,6 +72,22 @@ def running_sums(
     return joined.drop("_part", "_pos", *[f"_s_{k}" for k in sums])
 
 
+def with_next_row(
+    df: DataFrame, order: Sequence[Column], columns: Sequence[str], name: str = "next", max_rows: int = SINGLE_TASK_ROWS
+) -> DataFrame:
+    """Add a struct with ``columns`` of the following row in a total order; NULL at the last row."""
+    row = F.struct(*columns)
+    if fits(df, max_rows):
+        return df.withColumn(name, F.lead(row).over(Window.orderBy(*order)))
+    parts = _sorted_parts(df, order)
+    # At most one row per sorted partition; empty partitions have none, so the next row may lie several further on.
+    firsts = parts.groupBy("_part").agg(F.min_by(row, "_pos").alias("_first"))
+    after = firsts.withColumn("_after", F.lead("_first").over(Window.orderBy("_part"))).select("_part", "_after")
+    inside = F.lead(row).over(Window.partitionBy("_part").orderBy("_pos"))
+    joined = parts.join(F.broadcast(after), "_part").withColumn(name, F.coalesce(inside, F.col("_after")))
+    return joined.drop("_part", "_pos", "_after")
+
+
 @dataclass(frozen=True)
 class RollingRows:
     """Aggregate over the last ``rows`` rows of the key, the current one included unless ``skip_current``."""

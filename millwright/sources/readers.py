@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass, fields, replace
+from datetime import date, datetime
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -181,6 +182,47 @@ def jdbc_options(url: str, table: str, partition_column: str, bounds: tuple[int,
     }
 
 
+def scan_predicates(keys: DataFrame, column: str, partitions: int) -> list[str]:
+    """Conditions on a key that split a table into about equal parts: every row meets exactly one of them.
+
+    ``keys`` is a sample of the table's keys; its quantiles, not equal steps, place the cuts, so clustered keys give even
+    parts. A key that fills more than one part gets one of its own. NULL keys and keys beyond the sample are covered. For whole numbers,
+    decimals, dates and zone-less timestamps, whose order is the same in any database; other kinds are refused.
+    """
+    kind = keys.schema[column].dataType
+    ordered = (T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.DecimalType, T.DateType, T.TimestampNTZType)
+    if not isinstance(kind, ordered):
+        raise ValueError(f"{column}: no cuts for keys of type {kind.simpleString()}")
+    if partitions < 1:
+        raise ValueError("a scan needs at least one partition")
+    shares = [i / partitions for i in range(1, partitions)]
+    found = keys.agg(F.percentile_approx(column, shares, 100 * partitions).alias("q")).first()["q"] if shares else None
+    cuts = found or []
+    # A cut is (value, whether the value belongs to the part below it); a repeated quantile is cut on both sides.
+    edges = sorted({(v, False) for v in cuts} | {(v, True) for v in cuts if cuts.count(v) > 1})
+    if not edges:
+        return ["1 = 1"]
+    below = [f"{column} {'<=' if closed else '<'} {_literal(v)}" for v, closed in edges]
+    above = [f"{column} {'>' if closed else '>='} {_literal(v)}" for v, closed in edges]
+    middle = [f"{low} AND {high}" for low, high in zip(above, below[1:])]
+    return [f"({below[0]} OR {column} IS NULL)", *middle, above[-1]]
+
+
+def _literal(value: object) -> str:
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(' ')}'"
+    return f"DATE '{value.isoformat()}'" if isinstance(value, date) else str(value)
+
+
+def read_jdbc_parts(
+    spark: SparkSession, url: str, table: str, predicates: list[str], columns: list[str] | None = None,
+    properties: dict[str, str] | None = None,
+) -> DataFrame:
+    """Table scan over JDBC with one task for each predicate, as ``scan_predicates`` makes them."""
+    df = spark.read.jdbc(url, table, predicates=predicates, properties={"fetchsize": "10000", **(properties or {})})
+    return df.select(*columns) if columns else df
+
+
 def read_published(spark: SparkSession, root: str, name: str, schema: T.StructType) -> DataFrame:
     """A table of the last published version, empty if that has none."""
     rows = read_stored(spark, root, latest(spark, root), name)
