@@ -146,6 +146,20 @@ def test_shards_are_even_and_keep_copies_together(spark, hot):
     assert sum(len(p) == 1 for p in pairs) >= 0.9 * len(pairs)
 
 
+@pytest.mark.parametrize("sizes,most", [([80], 0), ([80] * 12 + [20] * 30 + [2] * 200, 24), ([50] * 48, 4), ([800], 1)])
+def test_groups_that_fit_a_shard_stay_whole(spark, sizes, most):
+    texts = [f"group {g}" for g, n in enumerate(sizes) for _ in range(n)]
+    texts += [f"single {i}" for i in range(2400 - len(texts))]
+    found = balanced_shards(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4), 24).collect()
+    places = {}
+    for r in found:
+        places.setdefault(texts[r.doc_id], set()).add(r.shard)
+    counts = Counter(r.shard for r in found)
+    assert set(counts.values()) == {100}
+    cut = [t for t, p in places.items() if len(p) > 1]
+    assert len(cut) <= most and (len(sizes) > 1 or all(len(places[t]) <= 12 for t in cut))
+
+
 def test_shards_of_odd_documents(odd_docs, no_docs):
     found = balanced_shards(odd_docs).collect()
     assert sorted(r.slot for r in found) == [0] * odd_docs.count() and len({r.shard for r in found}) == len(found)
