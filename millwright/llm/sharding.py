@@ -44,7 +44,7 @@ def propagate(links: DataFrame, rows: int, shards: int, rounds: int = 8) -> Data
     Each round a row wants the shard with most of its neighbours among those with room for all of them beside the
     settled rows; ties are broken by a hash that its neighbours share. A row is settled once all its neighbours are in
     its shard. Arrivals in a shard are admitted by bins, larger groups first and whole bins only, as long as they fit
-    its quota beside the rows that stay. Stops early when all rows are settled.
+    its quota beside the rows that stay. Stops early when all rows are settled or none can move.
     """
     quota = rows // shards
     units = materialize(_units(links, quota))
@@ -78,7 +78,7 @@ def propagate(links: DataFrame, rows: int, shards: int, rounds: int = 8) -> Data
         shard = F.when(goes, F.col("want")).otherwise(F.col("shard")).alias("shard")
         labels = materialize(moved.select("row", "unit", shard, (goes | F.col("whole")).alias("settled")))
         settled = _counts(labels.where("settled"), "shard", shards)
-        if labels.where("not settled").limit(1).count() == 0:
+        if arrivals.limit(1).count() == 0 or labels.where("not settled").limit(1).count() == 0:
             break
     return labels
 
