@@ -1,8 +1,9 @@
 """Quality rules: counted base measures, and a hashed n-gram likelihood ratio between trusted and raw text.
 
 Two multinomials over hashed byte n-grams are counted: one over all documents, one over documents labelled good. A
-document's score is the mean log ratio of its n-grams. The threshold is set once, on labelled documents that the
-trusted counts have not seen, and every document is judged by it alone.
+document's score is the mean log ratio of its n-grams. The threshold is set once, on all labelled documents that the
+trusted counts have not seen, and every document is judged by it alone. No label is left out: half of the good ones
+are counted, the other half and all bad ones set the threshold.
 """
 
 from __future__ import annotations
@@ -18,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millwright.llm.words import SPACE, byte_words, chunks, fields, whole_row
+from millwright.ml.metrics import score_curve
+from millwright.operators.sizing import SINGLE_TASK_ROWS, dimension
 from millwright.session import materialize
 
 #: The characters counted as symbols.
@@ -25,7 +28,6 @@ SYMBOLS = "#*$%&|<>"
 ORDERS = (2, 3)
 BUCKETS = 1 << 14
 BYTES_AT_ONCE = 1 << 20
-LABELLED_ROWS = 20_000
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
@@ -92,26 +94,30 @@ class QualityModel:
     threshold: float
 
 
-def _labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, good and fit (counted as trusted, else held out) of a bounded hash sample of the labels."""
+def _labelled(labels: DataFrame) -> DataFrame:
+    """doc_id, good and fit (counted as trusted, else held out) of every labelled document; of several labels the worst."""
     usable = labels.where("doc_id is not null and quality is not null")
-    one = usable.groupBy("doc_id").agg(F.min("quality").alias("quality"))
-    sample = one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(LABELLED_ROWS)
-    fit = F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id")), F.lit(2)) == 0
-    return materialize(sample.select("doc_id", (F.col("quality") > 0).alias("good"), fit.alias("fit")))
+    one = usable.groupBy("doc_id").agg((F.min("quality") > 0).alias("good"))
+    half = F.pmod(F.xxhash64(F.lit("fit"), F.col("doc_id")), F.lit(2)) == 0
+    return materialize(one.select("doc_id", "good", (F.col("good") & half).alias("fit")))
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    totals = np.zeros((2, BUCKETS * len(ORDERS)), np.int64)
+    totals = np.zeros(BUCKETS * len(ORDERS), np.int64)
     for batch in batches:
-        for text, trusted in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+        for text in batch.column(0).to_pylist():
             for found in buckets(text):
-                counts = np.bincount(found, minlength=totals.shape[1])
-                totals[0] += counts
-                if trusted:
-                    totals[1] += counts
-    used = np.flatnonzero(totals[0])
-    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[0][used]), pa.array(totals[1][used])], ["bucket", "raw", "trusted"])
+                totals += np.bincount(found, minlength=len(totals))
+    used = np.flatnonzero(totals)
+    yield pa.RecordBatch.from_arrays([pa.array(used), pa.array(totals[used])], ["bucket", "n"])
+
+
+def _bucket_counts(texts: DataFrame) -> np.ndarray:
+    """n-grams of all texts per bucket."""
+    out = np.zeros(BUCKETS * len(ORDERS))
+    for bucket, n in texts.select("text").mapInArrow(_count, "bucket long, n long").groupBy("bucket").agg(F.sum("n")).collect():
+        out[bucket] = n
+    return out
 
 
 def _scores(text: Column, weights: np.ndarray) -> Column:
@@ -125,48 +131,44 @@ def _scores(text: Column, weights: np.ndarray) -> Column:
     return scores(text)
 
 
-def pick_threshold(scores: np.ndarray, good: np.ndarray, keep_share: float) -> float:
-    """Where to cut so that at least ``keep_share`` of the good documents stay.
+def pick_threshold(found: DataFrame, keep_share: float, max_rows: int = SINGLE_TASK_ROWS) -> float:
+    """Where to cut ``found`` (score, good) so that at least ``keep_share`` of the good documents stay.
 
     Among such cuts, the one with the largest difference between the shares of bad and of good documents it rejects,
     moved half-way down to the next lower score, so that good documents a little below the known ones stay too.
     -infinity if no cut rejects more bad than good ones, or one of the two kinds is missing.
     """
-    if good.all() or not good.any():
+    curve = score_curve(found.select("score", F.col("good").cast("int").alias("good")), "score", "good", max_rows=max_rows)
+    good, bad = curve.agg(F.max("tp"), F.max("fp")).first()
+    if not good or not bad:
         return -np.inf
-    most = np.sort(scores[good])[int((1 - keep_share) * good.sum())]
-    cuts = np.unique(np.append(scores[scores <= most], most))
-    lost = np.searchsorted(np.sort(scores[good]), cuts) / good.sum()
-    caught = np.searchsorted(np.sort(scores[~good]), cuts) / (~good).sum()
-    best = int(np.argmax(caught - lost))
-    if caught[best] <= lost[best]:
+    # Rejected by a cut is what the curve has not reached at its score; shares are compared in whole numbers.
+    lost, caught = F.lit(good) - F.col("tp"), F.lit(bad) - F.col("fp")
+    gain = caught.cast("decimal(19,0)") * F.lit(good) - lost.cast("decimal(19,0)") * F.lit(bad)
+    cuts = curve.where(lost <= int((1 - keep_share) * good)).select("score", gain.alias("gain"))
+    best = cuts.orderBy(F.desc("gain"), "score").first()
+    if best.gain <= 0:
         return -np.inf
-    return float(cuts[best] + scores[scores < cuts[best]].max()) / 2
+    return (best.score + curve.where(F.col("score") < F.lit(best.score)).agg(F.max("score")).first()[0]) / 2
 
 
 def fit_quality(docs: DataFrame, labels: DataFrame, keep_share: float = 0.998, smoothing: float = 1.0) -> QualityModel:
     """Count both multinomials over whole texts and set the threshold.
 
-    Raw counts cover every row of ``docs``. At most LABELLED_ROWS labels are used: half of the good ones are the
-    trusted text, the others set the threshold. To the driver go the bucket counts (two orders of BUCKETS) and
-    the held-out scores. Without usable labels nothing is rejected by the model.
+    Raw counts cover every row of ``docs``, and every label is used: half of the good ones are the trusted text, all
+    others set the threshold. To the driver go the bucket counts (two orders of BUCKETS) and the cut. Only the trusted
+    texts meet their labels; for the threshold, ids and scores do. Without usable labels nothing is rejected by the model.
     """
-    sample = _labelled(docs, labels)
-    marked = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id", "left")
-    trusted = F.coalesce(F.col("good") & F.col("fit"), F.lit(False))
-    counted = marked.select("text", trusted.alias("trusted")).mapInArrow(_count, "bucket long, raw long, trusted long")
-    rows = counted.groupBy("bucket").agg(F.sum("raw"), F.sum("trusted")).collect()
-    counts = np.full((2, BUCKETS * len(ORDERS)), smoothing)
-    for bucket, raw, own in rows:
-        counts[:, bucket] += raw, own
-    if not sum(own for _, _, own in rows):
-        return QualityModel(np.zeros(counts.shape[1]), -np.inf)
-    each = counts.reshape(2, len(ORDERS), BUCKETS)
+    known = _labelled(labels)
+    trusted = _bucket_counts(docs.select("doc_id", "text").join(dimension(known.where("fit"), "doc_id"), "doc_id"))
+    if not trusted.any():
+        return QualityModel(np.zeros(len(trusted)), -np.inf)
+    each = np.stack([_bucket_counts(docs), trusted]).reshape(2, len(ORDERS), BUCKETS) + smoothing
     logs = np.log(each / each.sum(axis=2, keepdims=True))
     weights = (logs[1] - logs[0]).reshape(-1)
-    held_out = docs.select("doc_id", "text").join(F.broadcast(sample.where("not fit")), "doc_id")
-    found = held_out.select("good", _scores(F.col("text"), weights).alias("score")).toPandas()
-    return QualityModel(weights, pick_threshold(found.score.to_numpy(float), found.good.to_numpy(bool), keep_share))
+    scored = docs.select("doc_id", _scores(F.col("text"), weights).alias("score"))
+    held_out = scored.join(dimension(known.where("NOT fit"), "doc_id", "good"), "doc_id")
+    return QualityModel(weights, pick_threshold(held_out, keep_share))
 
 
 def judge(docs: DataFrame, model: QualityModel) -> DataFrame:

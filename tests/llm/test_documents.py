@@ -198,6 +198,34 @@ def test_quality_separates_and_keeps_all_rows(spark, odd_docs, no_docs):
     assert quality.judge(no_docs, quality.fit_quality(no_docs, labels)).count() == 0
 
 
+def test_quality_uses_every_label(spark):
+    rng = random.Random(8)
+    n = 24_000
+    texts = ["".join(rng.choice("abcdef" if i % 3 else "defghi") for _ in range(rng.randint(0, 12))) for i in range(n)]
+    good = [i % 3 > 0 or i % 30 == 0 for i in range(n)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(i, int(g)) for i, g in enumerate(good)], "doc_id long, quality int")
+    model = quality.fit_quality(docs, labels, keep_share=0.9)
+
+    fit = {r.id for r in spark.range(n).where("pmod(xxhash64('fit', id), 2) = 0").collect() if good[r.id]}
+    counts = np.ones((2, 2, quality.BUCKETS))
+    for i, text in enumerate(texts):
+        for found in quality.buckets(text):
+            for side in (0, 1) if i in fit else (0,):
+                np.add.at(counts[side].reshape(-1), found, 1)
+    logs = np.log(counts / counts.sum(axis=2, keepdims=True))
+    assert np.allclose(model.weights, (logs[1] - logs[0]).reshape(-1), rtol=0, atol=1e-12)
+
+    scores = [(quality.score(t, model.weights.astype(np.float32)), good[i]) for i, t in enumerate(texts) if i not in fit]
+    ok, bad = (np.sort([s for s, g in scores if g is kind]) for kind in (True, False))
+    cuts = sorted({s for s, _ in scores if np.searchsorted(ok, s) <= int((1 - 0.9) * len(ok))})
+    best = max(cuts, key=lambda c: (int(np.searchsorted(bad, c)) * len(ok) - int(np.searchsorted(ok, c)) * len(bad), -c))
+    assert model.threshold == (best + cuts[cuts.index(best) - 1]) / 2
+    frame = spark.createDataFrame(scores, "score double, good boolean")
+    assert quality.pick_threshold(frame, 0.9, max_rows=0) == model.threshold
+    assert quality.pick_threshold(frame.where("good"), 0.9) == -np.inf
+
+
 def slow_spans(text):
     digits = lambda s: re.sub("[^0-9]", "", s)
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
