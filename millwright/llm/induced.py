@@ -390,16 +390,23 @@ class Given:
 
 
 def doubled(text: np.ndarray) -> np.ndarray:
-    """Suffix array of an integer text in memory, by doubling the compared length."""
+    """Suffix array of a text of ranks in memory, by doubling the compared length.
+
+    A rank is the first place of the suffixes that are equal so far; only where there are several are sorted again.
+    """
     n, step = len(text), 1
-    rank = np.unique(text, return_inverse=True)[1].astype(np.int64)
+    order = np.argsort(text, kind="stable")
+    rank, open_ = np.empty(n, np.int64), np.arange(n)
+    key = text[order]
     while True:
-        second = np.zeros(n, np.int64)
-        second[: max(0, n - step)] = rank[step:] + 1
-        key = rank * (n + 1) + second
-        order = np.argsort(key, kind="stable")
-        rank = np.empty(n, np.int64)
-        rank[order] = np.append(0, np.cumsum(key[order[1:]] != key[order[:-1]])) if n else 0
-        if n < 2 or rank[order[-1]] == n - 1:
+        new = np.append(True, key[1:] != key[:-1])
+        rank[order[open_]] = open_[np.maximum.accumulate(np.where(new, np.arange(len(open_)), 0))]
+        open_ = open_[~(new & np.append(new[1:], True))]
+        if not len(open_):
             return order
+        items = order[open_]
+        follow = items + step
+        key = rank[items] * (n + 1) + np.where(follow < n, rank[np.minimum(follow, n - 1)] + 1, 0)
+        within = np.argsort(key)
+        order[open_], key = items[within], key[within]
         step *= 2

@@ -4,8 +4,10 @@ Every string of ``length`` bytes has a minimizer: its leftmost substring of a qu
 smallest. Equal strings have equal minimizers at equal places, so strings with one minimizer can be compared apart
 from all others. Neighbouring strings with the same minimizer form one segment, and a row stands for each segment:
 
-1. Rows meet by minimizer. Of equal segments only the first in (document, place) stays; all bytes of the others go. A
-   segment whose minimizer comes with one content only holds nothing else that repeats.
+1. Rows meet by minimizer. Of equal segments only the first in (document, place) stays; all bytes of the others go.
+   Strings that two other segments share hold the minimizer and at least half of the other bytes on one side of it. So
+   a segment holds nothing else that repeats, unless another one of its minimizer has the same bytes on one side; these
+   are told by a byte of hash for each side, which can only let too many segments through.
 2. The remaining segments are cut out of the texts and dealt to shards by minimizer. A shard's text lies on the disk of
    its task; its suffixes are sorted by external induction with their common prefixes (``induced``). Neighbours that share
    ``length`` bytes are equal strings: the first stays, the bytes of the others go.
@@ -35,11 +37,13 @@ from millwright.operators.ordering import row_index
 from millwright.session import materialize
 
 PIECE_BYTES = 1 << 20
+CUT_BYTES = 1 << 17  # a piece whose hashes stay in the processor's cache
 SAMPLE = 64
 COMMON_SHARE = 500
 COMMON_LEAST = 20
 COMMON_KEPT = 100_000
 SHARD_ROWS = 60_000
+HELD_ROWS = 1 << 16
 _RANDOM = np.random.default_rng(13)
 _BYTES = _RANDOM.integers(0, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _FACTORS = _RANDOM.integers(0, 1 << 63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -64,29 +68,63 @@ def rolling_hashes(data: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(29))
 
 
-def window_minima(values: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Least value of every window and its leftmost place."""
-    n, done, least, place = len(values) - size + 1, 1, values, np.arange(len(values))
+def window_minima(values: np.ndarray, size: int, bits: int) -> np.ndarray:
+    """Place of the least value of every window, the leftmost of equals; the ``bits`` lowest bits do not count.
+
+    They hold the place meanwhile.
+    """
+    mask, done = np.uint64((1 << bits) - 1), 1
+    least = (values & ~mask) | np.arange(len(values), dtype=np.uint64)
     while done < size:
         step = min(done, size - done)
-        left = least[:-step] <= least[step:]
-        least, place = np.where(left, least[:-step], least[step:]), np.where(left, place[:-step], place[step:])
+        least = np.minimum(least[:-step], least[step:])
         done += step
-    return least[:n], place[:n]
+    return (least & mask).view(np.int64)
+
+
+def _one_of(values: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which values are among the sorted known ones; a table over some bits settles most of the others."""
+    if not len(known):
+        return np.zeros(len(values), bool)
+    table = np.zeros(1 << 20, bool)
+    table[known >> np.uint64(44)] = True
+    found = table[values >> np.uint64(44)]
+    some = np.flatnonzero(found)
+    near = np.minimum(np.searchsorted(known, values[some]), len(known) - 1)
+    found[some] = known[near] == values[some]
+    return found
+
 
+def _sides(data: np.ndarray, first: np.ndarray, at: np.ndarray, end: np.ndarray, length: int) -> np.ndarray:
+    """A byte for the left and a byte for the right of each segment's minimizer; 0 for a side that is too short.
+
+    A string in the segment has ``length`` - ``size`` bytes beside the minimizer, hence at least ``half`` on one side.
+    """
+    size = max(1, length // 4)
+    half = (length - size + 1) // 2
+    if not half:
+        return np.full(len(first), 0x0101, np.uint64)
+    hashes = rolling_hashes(data, half)
+    kinds = [(at - first >= half, at - half), (end - at - size >= half, at + size)]
+    left, right = (
+        np.where(long, hashes[np.clip(place, 0, len(hashes) - 1)] % np.uint64(255) + np.uint64(1), np.uint64(0)) for long, place in kinds
+    )
+    return (left << np.uint64(8)) | right
 
-def _pieces(numbers: np.ndarray, texts: pa.Array, length: int) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
-    """Whole texts in pieces of bounded size: bytes, and per text its number, first byte in the piece, and place there.
+
+def _pieces(numbers: np.ndarray, texts: pa.Array, length: int, most: int | None = None) -> Iterator[tuple[bytes, np.ndarray, np.ndarray, np.ndarray]]:
+    """Whole texts in pieces of about ``most`` bytes (PIECE_BYTES): bytes, and per text its number, first byte in the piece, and place there.
 
     A longer text comes in pieces that overlap, so that each string of ``length`` bytes begins in one of them.
     """
     offsets = np.frombuffer(texts.buffers()[1], np.int32)[texts.offset : texts.offset + len(texts) + 1]
     data = memoryview(texts.buffers()[2] or b"")
+    most = most or PIECE_BYTES
     parts, size = [], 0
     for number, lo, hi in zip(numbers.tolist(), offsets[:-1].tolist(), offsets[1:].tolist()):
-        for begin in range(lo, max(lo + 1, hi - length + 1), PIECE_BYTES):
-            end = min(hi, begin + PIECE_BYTES + length - 1)
-            if size and size + end - begin > PIECE_BYTES:
+        for begin in range(lo, max(lo + 1, hi - length + 1), most):
+            end = min(hi, begin + most + length - 1)
+            if size and size + end - begin > most:
                 yield _joined(parts, data)
                 parts, size = [], 0
             parts.append((number, begin, end, begin - lo))
@@ -104,32 +142,34 @@ def _joined(parts: list[tuple[int, int, int, int]], data: memoryview) -> tuple[b
 def segments(numbers: np.ndarray, texts: pa.Array, length: int, common: np.ndarray) -> Iterator[dict[str, np.ndarray]]:
     """Rows of minimizer, content hash, document number, place and size for all segments of the texts.
 
-    The hashes in ``common`` (sorted) are chosen last.
+    The minimizer stands in the upper 48 bits, the bytes of ``_sides`` below. The hashes in ``common`` (sorted) are chosen
+    last.
     """
     size = max(1, length // 4)
-    for data, docs, begins, places in _pieces(numbers, texts, length):
+    bits = (PIECE_BYTES + length).bit_length()  # the same for all pieces
+    for data, docs, begins, places in _pieces(numbers, texts, length, min(CUT_BYTES, PIECE_BYTES)):
         if len(data) < length:
             continue
         bytes_ = np.frombuffer(data, np.uint8)
         hashes = rolling_hashes(bytes_, size)
         if len(common):
-            near = np.minimum(np.searchsorted(common, hashes), len(common) - 1)
-            hashes = (hashes >> np.uint64(1)) | ((common[near] == hashes).astype(np.uint64) << np.uint64(63))
-        least, at = window_minima(hashes, length - size + 1)
-        text = np.repeat(np.arange(len(docs)), np.diff(begins))[: len(least)]
-        inside = np.arange(len(least)) + length <= begins[text + 1]
-        change = np.ones(len(least), bool)
+            hashes = (hashes >> np.uint64(1)) | (_one_of(hashes, common).astype(np.uint64) << np.uint64(63))
+        at = window_minima(hashes, length - size + 1, bits)
+        text = np.repeat(np.arange(len(docs)), np.diff(begins))[: len(at)]
+        inside = np.arange(len(at)) + length <= begins[text + 1]
+        change = np.ones(len(at), bool)
         change[1:] = (at[1:] != at[:-1]) | (text[1:] != text[:-1])
         # A segment ends before the next one, or where no string of the text begins any more.
-        cut = np.append(np.flatnonzero(change), len(least))
+        cut = np.append(np.flatnonzero(change), len(at))
         first = cut[:-1][inside[cut[:-1]]]
         counts = np.append(0, np.cumsum(inside))
         width = (counts[cut[1:]] - counts[cut[:-1]])[inside[cut[:-1]]]
         end = first + width + length - 1
         digest = xxhash.xxh3_64_intdigest
         content = np.fromiter((digest(data[a:b]) for a, b in zip(first.tolist(), end.tolist())), np.uint64, len(first))
+        minimizer = hashes[at[first]] & ~np.uint64(0xFFFF)
         yield {
-            "m": (least[first] >> np.uint64(16)).view(np.int64), "c": content.view(np.int64), "doc": docs[text[first]],
+            "m": (minimizer | _sides(bytes_, first, at[first], end, length)).view(np.int64), "c": content.view(np.int64), "doc": docs[text[first]],
             "pos": places[text[first]] + first - begins[text[first]], "size": end - first,
         }
 
@@ -146,11 +186,14 @@ def _frame(columns: dict[str, np.ndarray]) -> pa.RecordBatch:
 def _combined(parts: list[dict[str, np.ndarray]]) -> dict[str, np.ndarray]:
     """Segments of a batch; those that repeat an earlier one of the batch are marked gone, and dealt by place."""
     col = {k: np.concatenate([p[k] for p in parts]) for k in parts[0]}
-    order = np.lexsort((col["pos"], col["doc"], col["c"], col["m"]))
+    order = np.argsort(col["c"])
+    same = col["c"][order[1:]] == col["c"][order[:-1]]
+    some = order[np.append(False, same) | np.append(same, False)]  # equal hashes: put these in order
+    order = some[np.lexsort((col["pos"][some], col["doc"][some], col["m"][some], col["c"][some]))]
     same = (col["m"][order[1:]] == col["m"][order[:-1]]) & (col["c"][order[1:]] == col["c"][order[:-1]])
-    gone = np.zeros(len(order), bool)
+    gone = np.zeros(len(col["m"]), bool)
     gone[order[1:][same]] = True
-    col["m"] = np.where(gone, (col["doc"] << 20) ^ col["pos"], col["m"])
+    col["m"] = np.where(gone, ((col["doc"] << 20) ^ col["pos"]) << 16, col["m"])
     return {**col, "gone": gone}
 
 
@@ -192,48 +235,72 @@ def _common(base: DataFrame, length: int) -> np.ndarray:
     return np.sort(np.array([r.h for r in often.select("h").collect()], np.int64).view(np.uint64))
 
 
+def _changes(values: np.ndarray) -> np.ndarray:
+    return np.append(True, values[1:] != values[:-1])[: len(values)]
+
+
+def _comparable(m: np.ndarray) -> np.ndarray:
+    """Which of the different segments (sorted by ``m``) have a side like another one with the same minimizer."""
+    out, group = np.zeros(len(m), bool), np.cumsum(_changes(m >> 16))
+    for side in ((m >> 8) & 0xFF, m & 0xFF):
+        at = np.flatnonzero(side)
+        key = (group[at] << 8) | side[at]
+        order = np.argsort(key, kind="stable")
+        new = _changes(key[order])
+        out[at[order[~(new & np.append(new[1:], True)[: len(new)])]]] = True
+    return out
+
+
 def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted segments to those that repeat an earlier one, and the first ones of minimizers with several contents.
+    """Sorted segments to those that repeat an earlier one, and the first ones that need a comparison.
 
-    Holds the last first segment until a second content of its minimizer shows up.
+    Holds the different segments of the last minimizer until the next one shows up; beyond ``HELD_ROWS`` all of that
+    minimizer's are compared.
     """
-    last, waiting = None, None
+    names = ("m", "doc", "pos", "size")
+    held: dict[str, np.ndarray] | None = None
+    last, whole = None, None  # minimizer and content of the last row; the minimizer of which all are compared
+
+    def made(col: dict[str, np.ndarray], rows: np.ndarray, first: bool) -> pa.RecordBatch:
+        out = {k: col[k][rows] for k in names}
+        return _frame({**out, "m": out["m"] >> 16, "first": np.full(len(out["m"]), first)})
+
     for batch in batches:
         col = {k: batch.column(i).to_numpy(zero_copy_only=False) for i, k in enumerate(("m", "c", "doc", "pos", "size", "gone"))}
         gone = col.pop("gone")
         if gone.any():
-            yield _frame({**{k: col[k][gone] for k in ("m", "doc", "pos", "size")}, "first": np.zeros(gone.sum(), bool)})
+            yield made(col, gone, False)
             col = {k: v[~gone] for k, v in col.items()}
-        n = len(col["m"])
-        if not n:
+        if not len(col["m"]):
             continue
-        other_m, other = np.ones(n, bool), np.ones(n, bool)
-        other_m[1:] = col["m"][1:] != col["m"][:-1]
-        other_m[0] = last is None or last[0] != col["m"][0]
-        other[1:] = col["c"][1:] != col["c"][:-1]
-        other[0] = last is None or last[1] != col["c"][0]
-        other |= other_m
+        other = _changes(col["m"]) | _changes(col["c"])
+        other[0] = last != (col["m"][0], col["c"][0])
         last = (col["m"][-1], col["c"][-1])
-        group = np.cumsum(other_m)  # 0: the group of the last batch goes on
-        contents = np.bincount(group[other], minlength=group[-1] + 1)
-        several = contents >= 2
-        several[0] = True
-        chosen = other & several[group]
-        if waiting is not None and contents[0]:
-            yield _frame({k: np.array([v]) for k, v in waiting.items()})
-        if group[-1] or contents[0]:
-            waiting = None
-        keep = ~other | chosen
-        yield _frame({**{k: col[k][keep] for k in ("m", "doc", "pos", "size")}, "first": other[keep]})
-        if group[-1] and not several[-1]:
-            i = np.flatnonzero(other)[-1]
-            waiting = {**{k: col[k][i] for k in ("m", "doc", "pos", "size")}, "first": np.bool_(True)}
+        yield made(col, ~other, False)
+        col = {k: col[k][other] for k in names}
+        if whole is not None:
+            rest = (col["m"] >> 16) != whole
+            yield made(col, ~rest, True)
+            col = {k: v[rest] for k, v in col.items()}
+        if held is not None:
+            col = {k: np.concatenate([held[k], col[k]]) for k in names}
+        if not len(col["m"]):
+            continue
+        minimizer = col["m"] >> 16
+        ends = int(np.flatnonzero(_changes(minimizer))[-1])
+        yield made(col, np.flatnonzero(_comparable(col["m"][:ends])), True)
+        held, whole = {k: v[ends:] for k, v in col.items()}, None
+        if len(held["m"]) > HELD_ROWS:
+            yield made(held, np.arange(len(held["m"])), True)
+            held, whole = None, minimizer[-1]
+    if held is not None:
+        yield made(held, np.flatnonzero(_comparable(held["m"])), True)
 
 
 def _settled(base: DataFrame, length: int) -> DataFrame:
     """Segments to remove (first is false), and those to compare with others of their minimizer (true)."""
     parts = int(base.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    dealt = _segments(base, length).repartition(parts, "m").sortWithinPartitions("m", "c", "doc", "pos")
+    dealt = _segments(base, length).repartition(parts, F.shiftright("m", 16)).sortWithinPartitions("m", "c", "doc", "pos")
     return materialize(dealt.mapInArrow(_settle, SETTLED))
 
 
@@ -385,6 +452,6 @@ def remove_repeats(docs: DataFrame, length: int = 100) -> DataFrame:
     dealt = cut.repartition(shards, "m").sortWithinPartitions("doc", "pos")
     places = gone.unionByName(dealt.mapInArrow(_repeats(length), STRETCH))
     of_doc = places.groupBy(F.col("doc").alias("number")).agg(F.collect_list(F.struct("start", "end")).alias("_places"))
-    joined = base.join(of_doc, "number", "left").select("doc", _apply(F.col("_places"), F.col("text")).alias("r"))
+    joined = base.join(of_doc, "number", "left").select("doc", _apply(F.col("_places"), F.col("doc.text")).alias("r"))
     added = ("n_bytes", "n_removed", "spans", "kept")
     return joined.select(*fields(docs, *added), *[F.col(f"r.{c}").alias(c) for c in added])

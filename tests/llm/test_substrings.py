@@ -6,6 +6,7 @@ import os
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -98,6 +99,51 @@ def test_equals_brute_force(spark, monkeypatch, seed, length, common, piece):
     assert got == {v[0]: v for v in brute(rows, length).values()}
 
 
+@pytest.mark.parametrize("seed, held", [(1, 1 << 16), (2, 3), (3, 0)])
+def test_settled_segments(monkeypatch, seed, held):
+    monkeypatch.setattr(substrings, "HELD_ROWS", held)
+    rng = random.Random(seed)
+    sides = lambda: rng.choice([0, 0, *range(1, 256)])
+    contents = [(((rng.randint(-40, 40) << 16) | (sides() << 8) | sides()), c) for c in range(400)]
+    contents += [((7 << 16) | (rng.randint(1, 255) << 8) | sides(), 1000 + c) for c in range(40)]
+    rows = sorted((*rng.choice(contents), doc, rng.randint(0, 9)) for doc in range(900))
+    names, parts, lo = ("m", "c", "doc", "pos", "size", "gone"), [], 0
+    while lo < len(rows):
+        step = rng.randint(1, 40)
+        part = [(*r, 100, False) for r in rows[lo : lo + step]]
+        parts.append(pa.RecordBatch.from_arrays([pa.array(v) for v in zip(*part)], names))
+        lo += step
+    got = [tuple(r.values()) for b in substrings._settle(iter(parts)) for r in b.to_pylist()]
+    firsts = [r for i, r in enumerate(rows) if not i or rows[i - 1][:2] != r[:2]]
+    like = lambda a, b: a != b and a >> 16 == b >> 16 and ((a ^ b) & 0xFF == 0 != a & 0xFF or (a ^ b) & 0xFF00 == 0 != a & 0xFF00)
+    same = lambda a, b: a is not b and (a[0] == b[0] and a[0] & 0xFFFF > 0 or like(a[0], b[0]))
+    need = {(r[0] >> 16, *r[2:], 100, True) for r in firsts if any(same(r, x) for x in firsts)}
+    every = {(r[0] >> 16, *r[2:], 100, True) for r in firsts}
+    found = {r for r in got if r[-1]}
+    assert len(set(got)) == len(got) and need <= found <= every and (held < 4 or found == need < every)
+    assert {r for r in got if not r[-1]} == {(r[0] >> 16, *r[2:], 100, False) for r in set(rows) - set(firsts)}
+
+
+def test_only_segments_with_a_like_side_are_compared(spark):
+    rng = random.Random(6)
+    noise = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    phrase, longer = noise(60), noise(130)
+    texts = [noise(150) + phrase + noise(150) for _ in range(30)] + [noise(120) + longer + noise(120) for _ in range(2)]
+    base = spark.createDataFrame(list(enumerate(texts)), "number long, text string").repartition(3)
+    # Beside 60 shared bytes no string of 100 is: hardly any of the 30 documents is to be sorted. The other two are.
+    docs = [r.doc for r in substrings._settled(base, 100).where("first").collect()]
+    assert len({d for d in docs if d < 30}) < 10 and {30, 31} <= set(docs)
+    got = {r.number: (r.n_removed, bytes(r.kept)) for r in substrings.remove_repeats(base.selectExpr("number", "number AS doc_id", "text")).collect()}
+    assert got == {k: (v[2], v[4]) for k, v in brute(list(enumerate(texts)), 100).items()}
+
+
+def test_doubling():
+    rng = random.Random(2)
+    for _ in range(200):
+        names = [rng.randint(1, rng.choice([1, 2, 9])) for _ in range(rng.randint(0, 50))] * rng.choice([1, 3]) + [0]
+        assert induced.doubled(np.array(names)).tolist() == sorted(range(len(names)), key=lambda i: names[i:])
+
+
 def test_odd_rows_and_clashing_columns(spark, odd_docs, no_docs):
     docs = odd_docs.selectExpr("*", "1 AS number", "3 AS r")
     rows = substrings.remove_repeats(docs, 5).collect()
