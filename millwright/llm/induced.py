@@ -23,6 +23,7 @@ import numpy as np
 IN_MEMORY = 1 << 22
 HELD = 1 << 20
 SLICE = 1 << 18
+FEW = 1 << 9
 
 Batch = tuple[np.ndarray, np.ndarray]
 
@@ -40,7 +41,7 @@ class DiskList:
 
     def array(self) -> np.ndarray:
         self.file.flush()
-        return np.memmap(self.file.name, self.dtype, "r", shape=(self.size,)) if self.size else np.zeros(0, self.dtype)
+        return np.asarray(np.memmap(self.file.name, self.dtype, "r", shape=(self.size,))) if self.size else np.zeros(0, self.dtype)
 
     def close(self) -> None:
         self.file.close()
@@ -94,10 +95,33 @@ class DiskQueue:
         order = np.argsort(columns[0], kind="stable")[:limit]
         return [c[order] for c in columns]
 
+    def least(self) -> int | None:
+        """The smallest key, if there is one."""
+        return min((int(columns[0][at]) for columns, at, _ in self.stored + self.inside), default=None)
+
+    def take(self, key: int, limit: int) -> list[np.ndarray]:
+        """Take out position and prefix of the next tuples of ``key``, the smallest one; at most ``limit``.
+
+        In one key, the order of arrival is that of the runs.
+        """
+        counts, parts, room = [], [], limit
+        for columns, at, _ in self.stored + self.inside:
+            same = columns[0][at : at + room]
+            counts.append(len(same) if len(same) and same[-1] == key else int(np.searchsorted(same, same.dtype.type(key), "right")))
+            room -= counts[-1]
+            if counts[-1]:
+                parts.append([c[at : at + counts[-1]] for c in columns[1:]])
+        taken = [np.concatenate(c) for c in zip(*parts)]
+        self._pass_over(counts)
+        return taken
+
     def drop(self, owners: np.ndarray) -> None:
         """Take out the tuples that ``peek`` gave, from the first on."""
+        self._pass_over(np.bincount(owners, minlength=len(self.stored) + len(self.inside)).tolist())
+
+    def _pass_over(self, counts: list[int]) -> None:
         runs = self.stored + self.inside
-        for run, count in zip(runs, np.bincount(owners, minlength=len(runs)).tolist()):
+        for run, count in zip(runs, counts):
             run[1] += count
             if run[1] == len(run[0][0]):
                 for f in run[2]:
@@ -314,12 +338,49 @@ class SuffixSorter:
     def _pass(self, given: Given, sign: int, with_prefixes: bool) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
         """One scan over the buckets, upwards (sign 1) or downwards (-1): position, prefix, and which are given.
 
-        In a bucket the induced suffixes come before the given ones. As many tuples are scanned at once as come before
-        the first one that they induce themselves.
+        In a bucket the induced suffixes come before the given ones.
         """
         queue = DiskQueue(self.folder, self.held)
         track = Prefixes(self.characters, self.cap) if with_prefixes else None
-        room, last = 256, (-1, np.iinfo(np.int64).min, False)
+        last = (-1, np.iinfo(np.int64).min, False)
+        for at, prefix, key, is_given, child in self._buckets(queue, given, sign) if self.characters <= FEW else self._stretches(queue, given, sign):
+            if track is not None:
+                self._join_sides(at, prefix, key, is_given, last, sign)
+            last = (int(at[-1]), int(key[-1]), bool(is_given[-1]))
+            yield at, prefix, is_given
+            mine = np.flatnonzero(child < np.iinfo(np.int64).max)
+            char = child[mine]
+            made = np.zeros(len(mine), np.int64) if track is None else track.induced(prefix, mine, sign * char)
+            queue.push(char.astype(self.narrow), at[mine] - 1, made.astype(np.uint16))
+
+    def _children(self, at: np.ndarray, sign: int, least: np.ndarray | int) -> np.ndarray:
+        """The key that each suffix induces; the largest number where it is below ``least``, hence of the other type."""
+        none = np.iinfo(np.int64).max
+        child = sign * self.text[at - 1].astype(np.int64)  # the last character stands before the first place: made none
+        child[(child < least) | (at == 0)] = none
+        return child
+
+    def _buckets(self, queue: DiskQueue, given: Given, sign: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """Position, prefix, key, which are given, and key induced: a bucket's induced suffixes as they are, then its given ones.
+
+        An induced suffix induces nothing before the next of its bucket, a given one nothing in it.
+        """
+        while True:
+            induced, known = queue.least(), given.bucket(self.text, sign)
+            if induced is not None and (known is None or induced <= known):
+                key, is_given = induced, False
+                at, prefix = queue.take(key, SLICE)
+                prefix = prefix.astype(np.int64)
+            elif known is not None:
+                key, is_given = known, True
+                at, prefix = given.take()
+            else:
+                return
+            yield at, prefix, np.full(len(at), key, np.int64), np.full(len(at), is_given), self._children(at, sign, key + is_given)
+
+    def _stretches(self, queue: DiskQueue, given: Given, sign: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """The same for many small buckets: as many tuples at once as come before the first one that they induce themselves."""
+        room = 256
         while True:
             keys, at, prefix, owner = queue.peek(room)
             more_at, more_prefix = given.peek(room)
@@ -337,25 +398,15 @@ class SuffixSorter:
             at = np.concatenate([at, more_at])[order]
             prefix = np.concatenate([prefix.astype(np.int64), more_prefix])[order]
             key, is_given = key[order].astype(np.int64), is_given[order]
-            child = np.full(len(at), np.iinfo(np.int64).max)
-            some = np.flatnonzero(at > 0)
-            child[some] = sign * self.text[at[some] - 1].astype(np.int64)
-            child[child < key + is_given] = np.iinfo(np.int64).max
+            child = self._children(at, sign, key + is_given)
             floor = np.append(np.iinfo(np.int64).max, np.minimum.accumulate(child)[:-1])
             late = np.flatnonzero((key > floor) | ((key == floor) & is_given))
             n = int(late[0]) if len(late) else len(at)
-            at, prefix, key, is_given, child = at[:n], prefix[:n], key[:n], is_given[:n], child[:n]
-            if track is not None:
-                self._join_sides(at, prefix, key, is_given, last, sign)
-            last = (int(at[-1]), int(key[-1]), bool(is_given[-1]))
-            yield at, prefix, is_given
-            mine = np.flatnonzero(child < np.iinfo(np.int64).max)
-            made = np.zeros(len(mine), np.int64) if track is None else track.induced(prefix, mine, sign * child[mine])
-            taken = n - int(is_given.sum())
+            taken = n - int(is_given[:n].sum())
             queue.drop(owner[:taken])
             given.done += n - taken
-            queue.push(child[mine].astype(self.narrow), at[mine] - 1, made.astype(np.uint16))
             room = min(SLICE, 2 * room) if n == len(order) else max(256, 2 * n)
+            yield at[:n], prefix[:n], key[:n], is_given[:n], child[:n]
 
     def _join_sides(self, at, prefix, key, is_given, last: tuple[int, int, bool], sign: int) -> None:
         """Set the prefix of each first given suffix of a bucket: it follows an induced one, or another bucket."""
@@ -372,6 +423,24 @@ class Given:
 
     def __init__(self, places: np.ndarray, prefixes: np.ndarray | None, backwards: bool):
         self.places, self.prefixes, self.backwards, self.done = places, prefixes, backwards, 0
+        self.ahead: Batch = (places[:0], places[:0])
+        self.begin, self.ends, self.keys = 0, [0], []
+
+    def bucket(self, text: np.ndarray, sign: int) -> int | None:
+        """The key of the next suffixes, if there are any."""
+        if self.begin == len(self.ahead[0]):
+            self.ahead, self.begin = self.peek(SLICE), 0
+            key = sign * text[self.ahead[0]].astype(np.int64)
+            last = np.flatnonzero(np.append(key[1:] != key[:-1], True)) if len(key) else np.zeros(0, np.int64)
+            self.ends, self.keys = (last[::-1] + 1).tolist(), key[last[::-1]].tolist()
+        return self.keys[-1] if self.keys else None
+
+    def take(self) -> Batch:
+        """Take out the suffixes of the key that ``bucket`` gave."""
+        lo, self.begin = self.begin, self.ends.pop()
+        self.keys.pop()
+        self.done += self.begin - lo
+        return self.ahead[0][lo : self.begin], self.ahead[1][lo : self.begin]
 
     def peek(self, limit: int) -> Batch:
         n = len(self.places)

@@ -137,6 +137,30 @@ def test_only_segments_with_a_like_side_are_compared(spark):
     assert got == {k: (v[2], v[4]) for k, v in brute(list(enumerate(texts)), 100).items()}
 
 
+@pytest.mark.parametrize("few, dtype", [(0, np.int64), (1 << 9, np.int64), (0, np.uint16), (1 << 9, np.uint16)])
+def test_buckets_and_stretches_give_one_order(tmp_path, monkeypatch, few, dtype):
+    monkeypatch.setattr(induced, "FEW", few)
+    for seed in range(40):
+        rng = random.Random(seed)
+        monkeypatch.setattr(induced, "SLICE", rng.choice([1, 3, 1 << 18]))
+        text = [rng.randint(1, rng.choice([1, 2, 5])) for _ in range(rng.randint(0, 60))] * rng.choice([1, 3]) + [0]
+        cap = rng.choice([2, 7, 30])
+        sorter = SuffixSorter(np.array(text, dtype), 6, str(tmp_path), cap, held=rng.choice([0, 9, 1000]), in_memory=rng.choice([0, 5, 1000]))
+        pairs = [(int(a), int(p)) for at, prefix in sorter.descending() for a, p in zip(at, prefix)]
+        order = sorted(range(len(text) - 1), key=lambda i: text[i:], reverse=True)
+        common = [len(os.path.commonprefix([text[a : a + cap], text[b : b + cap]])) for a, b in zip(order, order[1:])]
+        assert [a for a, _ in pairs] == order and [p for _, p in pairs][1:] == common and not os.listdir(tmp_path)
+
+
+def test_a_scan_of_bytes_puts_no_tuple_in_order_twice(tmp_path, monkeypatch):
+    seen, peek = [], DiskQueue.peek
+    monkeypatch.setattr(DiskQueue, "peek", lambda self, limit: (part := peek(self, limit), seen.append(len(part[0])))[0])
+    rng = random.Random(3)
+    text = np.array([rng.randint(2, 200) for _ in range(20_000)] * 2 + [0], np.uint16)
+    assert sum(len(at) for at, _ in SuffixSorter(text, 258, str(tmp_path), 100).descending()) == len(text) - 1
+    assert sum(seen) < len(text)  # the stars by their first characters only
+
+
 def test_doubling():
     rng = random.Random(2)
     for _ in range(200):
